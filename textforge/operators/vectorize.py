@@ -144,12 +144,18 @@ def fit_vectorizer(
     """
     rows = df.withColumn("_key", F.lit(0))
     stats = term_stats(document_terms(rows, "_key", text, opts))
+    return vectorizer_from_stats(stats, df.count(), opts, text, features)
+
+
+def vectorizer_from_stats(
+    stats: DataFrame, n_docs: int, opts: VectorizerOptions, text: str, features: str = "features"
+) -> Vectorizer:
+    """The same from a ready ``term, cf, df`` table."""
     vocab = materialize(vocabulary(stats, opts.max_features), "vocabulary")
     if opts.max_features is None and vocab.count() > MAX_DRIVER_TERMS:
         raise ValueError(
             f"more than {MAX_DRIVER_TERMS} terms: set max_features or use tfidf_table"
         )
-    n_docs = df.count()
     kept = vocab.orderBy("idx").collect()
     if not kept:
         raise ValueError("empty vocabulary: no text has a term")

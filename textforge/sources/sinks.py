@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 def write_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.options(header="true", quote='"', escape='"').csv(path)
+        # The writer trims cells unless told otherwise.
+        writer.options(
+            header="true",
+            quote='"',
+            escape='"',
+            ignoreLeadingWhiteSpace="false",
+            ignoreTrailingWhiteSpace="false",
+        ).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
