@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textforge.functions import patterns as P
 from textforge.functions.stopwords import STOP_WORDS
@@ -73,7 +74,7 @@ def strip_tags(text: Column) -> Column:
     return _where(_has(text, "<"), F.regexp_replace(text, P.TAG, ""), text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

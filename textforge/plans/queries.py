@@ -33,7 +33,7 @@ from textforge.streaming import scoring
 
 VOCAB = V.VectorizerOptions("tfidf", 500, (1, 2), STOP_WORDS)
 COUNTS = V.VectorizerOptions("count", 500, (1, 2), STOP_WORDS)
-BIGRAMS = V.VectorizerOptions("count", None, (1, 2), STOP_WORDS)
+BIGRAMS = V.VectorizerOptions("count", None, (1, 2))
 COVERAGE_CAPS = flows.SWEEP_CAPS
 
 REGISTRY: dict = {}
