@@ -7,6 +7,7 @@ Every fitted model has ``score(df)``, which adds ``prediction`` (double) and
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
@@ -28,6 +29,7 @@ from textforge.operators.split import kfold, with_class_weight
 from textforge.session import materialize
 
 SEED = 42
+MIN_PARTITION_ROWS = 2000
 
 
 @dataclass(frozen=True)
@@ -246,7 +248,14 @@ def fit_model(
     if spec.params.get("class_weight") == "balanced":
         train = with_class_weight(train, "label")
     est, kind = estimator(spec, n_classes, float(rows), seed)
-    return MLModel(est.fit(train), kind)
+    return MLModel(est.fit(_packed(train, rows)), kind)
+
+
+def _packed(train: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions for a small table: an iterative fit pays for every task, every
+    iteration. A table of many rows keeps its partitions."""
+    wanted = math.ceil(rows / MIN_PARTITION_ROWS) or 1
+    return train.coalesce(wanted) if wanted < train.rdd.getNumPartitions() else train
 
 
 def stack_features(df: DataFrame, models: list, n_classes: int) -> DataFrame:
