@@ -10,7 +10,8 @@ URL = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+|ftp://[^{SPACE}]+"
 NOT_WORD_OR_SPACE = rf"[^{WORD}{SPACE}]"
 WORD_RUN = rf"[{WORD}]+"
 TERM_RUN = rf"[{WORD}]{{2,}}"
-SPACE_RUN = rf"[{SPACE}]+"
+# Excluding a-z first decides most characters with one comparison.
+SPACE_RUN = rf"[[^a-z]&&[{SPACE}]]+"
 EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+$"
 
 # URL test of the exploratory profile.

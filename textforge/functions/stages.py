@@ -76,7 +76,8 @@ class TermTokenizer(
         self._setDefault(low=1, high=1, stopWords=[])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        words = term_tokens(F.col(self.getInputCol()), self.getOrDefault(self.stopWords))
+        text = F.coalesce(F.col(self.getInputCol()), F.lit(""))
+        words = term_tokens(text, self.getOrDefault(self.stopWords))
         terms = ngrams(
             F.col("_words"), self.getOrDefault(self.low), self.getOrDefault(self.high)
         )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textforge.functions import patterns as P
+from textforge.session import materialize
 
 
 def data_stats(df: DataFrame, text: str, label: str) -> DataFrame:
@@ -128,27 +129,35 @@ def duplicate_count(df: DataFrame, *columns: str) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
-def _first_keys(df: DataFrame, key: str, columns) -> DataFrame:
-    return (
-        df.select(key, content_key(*columns).alias("k"))
-        .groupBy("k")
-        .agg(F.min(key).alias(key))
-        .select(key)
+def _repeated_keys(df: DataFrame, key: str, columns) -> DataFrame:
+    """Keys of the rows that repeat the content of a row with a smaller key.
+
+    Keys and digests are written once, so the text is read once. The first key of a
+    content comes from a partial aggregation; the join back holds one row per
+    repeated content on one side, and adaptive execution splits a hot one on the other.
+    """
+    rows = materialize(df.select(key, content_key(*columns).alias("k")), "content-keys")
+    firsts = (
+        rows.groupBy("k")
+        .agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
     )
+    repeated = rows.join(firsts, "k").filter(F.col(key) != F.col("first"))
+    return materialize(repeated.select(key), "repeated-keys")
 
 
 def drop_duplicate_rows(df: DataFrame, key: str, *columns: str) -> DataFrame:
     """Keep the row with the smallest key of each content.
 
-    The survivors' keys come from a partial aggregation, so a content shared by a
-    third of the rows is no hot group; the semi join runs on the unique key.
+    The rows meet only the keys to drop: broadcast when those are few, by their file
+    size, so the texts are not shuffled.
     """
-    return df.join(_first_keys(df, key, columns), key, "left_semi")
+    return df.join(_repeated_keys(df, key, columns), key, "left_anti")
 
 
 def duplicate_rows(df: DataFrame, key: str, *columns: str) -> DataFrame:
     """The rows :func:`drop_duplicate_rows` removes."""
-    return df.join(_first_keys(df, key, columns), key, "left_anti")
+    return df.join(_repeated_keys(df, key, columns), key, "left_semi")
 
 
 def numeric_summary(df: DataFrame, column: str) -> DataFrame:

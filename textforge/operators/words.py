@@ -120,21 +120,22 @@ def lemma_table(words: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def lemmatize(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
-    """``key, tokens`` with every token replaced by its lemma, order kept.
+    """``df`` with every token replaced by its lemma.
 
-    The lemma table is joined by word: broadcast when its size allows, else a
-    sort-merge join whose hot words adaptive execution splits. Tokens then go home
-    by their row key; rows without tokens keep an empty list.
+    Only each row's distinct words meet the lemma table, and only the words that
+    change travel back, as one small map per row. The token lists stay whole.
     """
-    placed = df.select(key, F.posexplode_outer(tokens).alias("pos", "word"))
-    looked = placed.join(lemmas, "word", "left").select(
-        key, "pos", F.coalesce("lemma", "word").alias("word")
+    words = explode_terms(df, F.array_distinct(F.col(tokens)), key)
+    changes = (
+        words.join(lemmas.filter("word <> lemma"), "word")
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
-    ordered = F.sort_array(
-        F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word")))
+    looked = F.transform(
+        F.col(tokens), lambda w: F.coalesce(F.try_element_at(F.col("_lemmas"), w), w)
     )
     return (
-        looked.groupBy(key)
-        .agg(ordered.alias("t"))
-        .select(key, F.transform("t", lambda t: t["word"]).alias(tokens))
+        df.join(changes, key, "left")
+        .withColumn(tokens, F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(looked))
+        .drop("_lemmas")
     )

@@ -35,6 +35,7 @@ from textforge.operators.vectorize import (
 )
 from textforge.operators.words import lemma_table, lemmatize
 from textforge.session import materialize
+from textforge.sources import sinks
 
 
 def processed_table(
@@ -71,10 +72,8 @@ def notebook_clean(
         words = explode_terms(rows, "_tokens").distinct()
         words = materialize(words, "notebook-words")
         lemmas = materialize(lemma_table(words, words), "lemmas")
-    lemmatized = lemmatize(rows, key, "_tokens", lemmas)
-    return rows.drop("_tokens").join(
-        lemmatized.select(key, F.array_join("_tokens", " ").alias("cleaned")), key
-    )
+    out = lemmatize(rows, key, "_tokens", lemmas)
+    return out.withColumn("cleaned", F.array_join("_tokens", " ")).drop("_tokens")
 
 
 @dataclass
@@ -199,6 +198,57 @@ class TextClassifier:
         )
 
 
+def evaluate_model(model, test: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``summary`` (accuracy, weighted scores, test rows) and ``report`` of one model."""
+    rows = materialize(predict_all({name: model}, test), "predictions")
+    return (
+        evaluate.summary(rows, "actual", "predicted", "model"),
+        evaluate.classification_report(rows, "actual", "predicted", "model"),
+    )
+
+
+def compare_stored(spark: SparkSession, paths: dict[str, str], test: DataFrame) -> DataFrame:
+    """Load saved models and compare them on the same test rows, best first."""
+    models = {name: load_model(spark, path) for name, path in paths.items()}
+    rows = materialize(predict_all(models, test), "predictions")
+    return evaluate.compare_models(rows, "actual", "predicted")
+
+
+def run_training(
+    df: DataFrame,
+    key: str,
+    text: str,
+    label: str,
+    out: str,
+    *,
+    specs: Iterable[ModelSpec] = DEFAULT_MODELS,
+    run: str = "run",
+    **preparation,
+) -> Trained:
+    """The whole training job; everything it learns ends up below ``out``.
+
+    ``processed`` (texts and codes), ``features`` (by split), ``models/<name>`` (ready to
+    score raw text), ``reports`` (by model) and ``run_metrics`` (appended per run).
+    """
+    spark = df.sparkSession
+    prepared = prepare(df, key, text, label, **preparation)
+    cleaning = preparation.get("cleaning", FULL)
+    sinks.write_processed(processed_table(df, key, text, label, cleaning)[0], f"{out}/processed")
+    sinks.write_features(prepared.features, f"{out}/features")
+    trained = train_all(prepared, specs)
+    for name, model in trained.models.items():
+        TextClassifier.of(prepared, model).save(spark, f"{out}/models/{name}")
+    report = materialize(
+        evaluate.classification_report(trained.predictions, "actual", "predicted", "model"),
+        "reports",
+    )
+    sinks.write_report(report, f"{out}/reports")
+    for name in trained.models:
+        metrics = sinks.report_metrics(report.filter(F.col("model") == name))
+        sinks.append_run_metrics(metrics, f"{out}/run_metrics", run, {"model": name})
+    return trained
+
+
 # The vectorizer sweep and its two forests.
 SWEEP_RANGES = ((1, 1), (1, 2), (1, 3))
 SWEEP_CAPS = tuple(range(1000, 10001, 1000))
