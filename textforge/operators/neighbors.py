@@ -200,29 +200,33 @@ def _tiles(rows: DataFrame, other: DataFrame, own: str, cross: str, tile: int) -
 
 
 def _nearest_in_tile(k: int, dim: int):
+    """The k nearest base rows of every query row of one tile."""
+
     def nearest(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if q.empty or s.empty:
             return pd.DataFrame({"id": [], "neighbor": [], "d2": []})
+        s = s.sort_values("id", ignore_index=True)  # position order is then key order
         a, b = _matrix(q, dim), _matrix(s, dim)
         qid, sid = q["id"].to_numpy(), s["id"].to_numpy()
         rough = _square_distances(a, b)
-        scale = 1e-9 * (1.0 + float((a * a).sum(1).max()) + float((b * b).sum(1).max()))
-        position = {v: i for i, v in enumerate(sid)}
-        out_q, out_s, out_d = [], [], []
-        for i in range(len(qid)):
-            line = rough[i]
-            here = position.get(qid[i])
-            if here is not None:
-                line[here] = np.inf
-            kth = np.partition(line, k - 1)[k - 1] if len(line) > k else np.inf
-            # Everything within rounding of the k-th distance, measured again exactly.
-            pick = np.flatnonzero((line <= kth + scale) & np.isfinite(line))
-            exact = ((b[pick] - a[i]) ** 2).sum(1)
-            best = sorted(zip(exact, sid[pick]))[:k]
-            out_q += [qid[i]] * len(best)
-            out_d += [d for d, _ in best]
-            out_s += [n for _, n in best]
-        return pd.DataFrame({"id": out_q, "neighbor": out_s, "d2": out_d})
+        at = pd.Index(sid).get_indexer(qid)
+        own = np.flatnonzero(at >= 0)
+        rough[own, at[own]] = np.inf
+        # Everything within rounding of the k-th distance is measured again exactly.
+        slack = 1e-9 * (1.0 + float((a * a).sum(1).max()) + float((b * b).sum(1).max()))
+        if len(sid) > k:
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
+            row, col = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+        else:
+            row, col = np.nonzero(np.isfinite(rough))
+        exact = ((b[col] - a[row]) ** 2).sum(1)
+        order = np.lexsort((col, exact, row))
+        row, col, exact = row[order], col[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < k
+        return pd.DataFrame(
+            {"id": qid[row[best]], "neighbor": sid[col[best]], "d2": exact[best]}
+        )
 
     return lambda key, q, s: nearest(q, s)
 

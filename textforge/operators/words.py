@@ -50,9 +50,9 @@ def top_words_by_label(
     counts = materialize(word_freq(words, "label"), "word-label-counts")
     overall = counts.groupBy("word").agg(F.sum("n").alias("n"))
     top = top_words(overall, n, start).select("word", "rank")
-    labels = df.select(F.col(label).alias("label")).distinct()
+    labels = materialize(df.select(F.col(label).alias("label")).distinct(), "labels")
     all_labels = labels.agg(F.collect_list(F.struct("label")).alias("labels")).scalar()
-    grid = top.withColumn("labels", all_labels).select("word", "rank", F.inline("labels"))
+    grid = top.withColumn("labels", all_labels).select("word", "rank", F.inline_outer("labels"))
     hits = counts.join(F.broadcast(top.select("word")), "word", "left_semi")
     same = (F.col("g.word") == F.col("h.word")) & F.col("g.label").eqNullSafe(F.col("h.label"))
     return (
