@@ -144,3 +144,12 @@ def test_light_cleaner_stays_in_the_jvm(spark):
     assert "Python" not in plan and "Arrow" not in plan
     full = C.with_clean(df, "text")._jdf.queryExecution().executedPlan().toString()
     assert full.count("ArrowEvalPython") == 1
+
+
+def test_space_characters_agree(spark):
+    # The trimming set, the pattern class and Python's own idea of whitespace.
+    codes = [c for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c, chr(c)) for c in codes], "code int, text string")
+    by_pattern = {r.code for r in df.filter(F.col("text").rlike(f"[{C.P.SPACE}]")).collect()}
+    assert by_pattern == {c for c in codes if chr(c).isspace()} == set(map(ord, C.P.SPACE_CHARS))
+    assert {r.code for r in df.filter(C.strip_ends(F.col("text")) == "").collect()} == by_pattern

@@ -122,9 +122,7 @@ def test_stack_variant(three):
 
 def test_sweeps(three, spark):
     df, prepared = three
-    cleaned = prepared.cleaner.transform(
-        df.withColumnRenamed("id", "key").drop("label").join(prepared.features.select("key", "label", "split"), "key")
-    )
+    cleaned = prepared.cleaned
     settings = [VectorizerOptions("count", 10, (1, 1)), VectorizerOptions("tfidf", 20, (1, 3))]
     out = flows.sweep_vectorizers(cleaned, settings, {"count": FOREST, "tfidf": FOREST}, 3).collect()
     assert {r.model for r in out} == {"count 1-1 10", "tfidf 1-3 20"}

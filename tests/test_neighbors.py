@@ -54,6 +54,13 @@ def test_exact_neighbors_with_a_hot_copy(spark, within, tile):
     assert got == _brute(points, labels, 4, within)
 
 
+def test_copies_are_cut_before_the_shuffle(spark):
+    rows = N._rows(_frame(spark, _cloud(50, 3, 5), np.zeros(50)), "id", "features", None)
+    plan = N._first_copies(rows, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    assert "WindowGroupLimit" in plan
+
+
 def test_routing_prunes(spark):
     points = _cloud(400, 5, 2)
     points[:, 0] += np.arange(400) // 100 * 500  # four far groups

@@ -110,7 +110,7 @@ def drop_stop_words(text: Column, stop_words=STOP_WORDS) -> Column:
 
 
 def strip_ends(text: Column) -> Column:
-    return F.regexp_replace(text, P.EDGE_SPACE, "")
+    return F.btrim(text, F.lit(P.SPACE_CHARS))
 
 
 def squeeze_space(text: Column) -> Column:
@@ -162,7 +162,7 @@ def notebook_text(text: Column, newline: str = "") -> Column:
     """Lowercase, strip, drop newlines, keep only basic characters."""
     out = strip_ends(F.lower(text))
     out = F.replace(out, F.lit("\n"), F.lit(newline))
-    return F.regexp_replace(out, P.NOT_BASIC, "")
+    return F.regexp_replace(out, P.drop_chars(P.NOT_BASIC), "")
 
 
 def notebook_tokens(text: Column, stop_words, newline: str = "") -> Column:

@@ -12,7 +12,8 @@ WORD_RUN = rf"[{WORD}]+"
 TERM_RUN = rf"[{WORD}]{{2,}}"
 # Excluding a-z first decides most characters with one comparison.
 SPACE_RUN = rf"[[^a-z]&&[{SPACE}]]+"
-EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+$"
+# The same characters for trimming: the ends are looked at, not the whole text.
+SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # URL test of the exploratory profile.
 URL_PROFILE = (

@@ -61,7 +61,7 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
 
 
 def is_blank(text: Column) -> Column:
-    return F.regexp_replace(text, P.SPACE_RUN, "") == ""
+    return F.btrim(text, F.lit(P.SPACE_CHARS)) == ""
 
 
 def blank_rows(df: DataFrame, text: str) -> DataFrame:

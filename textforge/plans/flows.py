@@ -78,9 +78,10 @@ def notebook_clean(
 
 @dataclass
 class Prepared:
-    """``features``: key, label (double code), split, features."""
+    """``features``: key, label (double code), split, features; ``cleaned``: the same rows as text."""
 
     features: DataFrame
+    cleaned: DataFrame
     classes: DataFrame
     vectorizer: Vectorizer
     cleaner: TextCleaner
@@ -107,25 +108,32 @@ def prepare(
     seed: int = 42,
     stratify: bool = False,
     fit_on: str = "train",
+    keep_text: bool = False,
 ) -> Prepared:
     """Clean, encode, split, fit the vectorizer and transform.
 
     The text is cleaned once and the cleaned table written; everything after reads
     it. ``fit_on="all"`` fits the vocabulary before the split, test rows included.
+    ``keep_text`` keeps the original text and label in ``cleaned``.
     """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be 'train' or 'all'")
     coded, classes = encode_labels(df.select(key, text, label), label)
     names = class_names(classes)
     cleaner = TextCleaner.of(cleaning, inputCol=text, outputCol="cleaned")
-    keyed = coded.select(key, text, "code")
+    keyed = coded.select(key, text, F.col(label).alias("original_label"), "code")
     if stratify:
         parted = stratified_split(keyed, key, "code", test_size, seed)
     else:
         parted = random_split(keyed, key, test_size, seed)
+    originals = [F.col(text).alias("original_text"), "original_label"] if keep_text else []
     cleaned = materialize(
         cleaner.transform(parted).select(
-            F.col(key).alias("key"), F.col("code").cast("double").alias("label"), "split", "cleaned"
+            F.col(key).alias("key"),
+            F.col("code").cast("double").alias("label"),
+            "split",
+            "cleaned",
+            *originals,
         ),
         "cleaned",
     )
@@ -134,7 +142,7 @@ def prepare(
     features = materialize(
         fitted.transform(cleaned).select("key", "label", "split", "features"), "features"
     )
-    return Prepared(features, classes, fitted, cleaner, len(names))
+    return Prepared(features, cleaned, classes, fitted, cleaner, len(names))
 
 
 @dataclass
@@ -231,9 +239,15 @@ def run_training(
     score raw text), ``reports`` (by model) and ``run_metrics`` (appended per run).
     """
     spark = df.sparkSession
-    prepared = prepare(df, key, text, label, **preparation)
-    cleaning = preparation.get("cleaning", FULL)
-    sinks.write_processed(processed_table(df, key, text, label, cleaning)[0], f"{out}/processed")
+    prepared = prepare(df, key, text, label, keep_text=True, **preparation)
+    processed = prepared.cleaned.select(
+        "key",
+        "original_text",
+        F.col("cleaned").alias("cleaned_text"),
+        "original_label",
+        F.col("label").cast("int").alias("encoded_label"),
+    )
+    sinks.write_processed(processed, f"{out}/processed")
     sinks.write_features(prepared.features, f"{out}/features")
     trained = train_all(prepared, specs)
     for name, model in trained.models.items():

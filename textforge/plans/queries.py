@@ -706,13 +706,10 @@ def score_batch(spark, folder):
 @query("sweep")
 def sweep(spark, folder):
     prepared = _prepared(spark, folder)
-    cleaned = prepared.cleaner.transform(
-        turns(spark, folder).join(prepared.features.drop("features").withColumnRenamed("label", "code"), "key")
-    ).select("key", F.col("code").alias("label"), "split", "cleaned")
     settings = flows.sweep_settings(500)[:6]
     specs = {"count": FOREST, "tfidf": FOREST}
-    rows = materialize(cleaned, "sweep-cleaned")
-    return _rounded(flows.sweep_vectorizers(rows, settings, specs, prepared.n_classes), "model")
+    scores = flows.sweep_vectorizers(prepared.cleaned, settings, specs, prepared.n_classes)
+    return _rounded(scores, "model")
 
 
 @query("balance_sweep")

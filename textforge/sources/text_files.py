@@ -128,7 +128,7 @@ def read_csv_folder(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Stripped, non-blank lines of a one-column ``value`` table (batch or stream)."""
-    text = F.regexp_replace("value", P.EDGE_SPACE, "").alias("text")
+    text = F.btrim("value", F.lit(P.SPACE_CHARS)).alias("text")
     return lines.select(text).filter(F.col("text") != "")
 
 
