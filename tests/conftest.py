@@ -13,8 +13,8 @@ from textforge.session import get_spark  # noqa: E402
 def spark():
     session = get_spark(
         "tests",
-        "local[8]",
-        spark__sql__shuffle__partitions="4",
+        "local[4]",
+        spark__sql__shuffle__partitions="2",
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
