@@ -153,8 +153,9 @@ def _hash_rank(key: str, by: str = "") -> str:
     return f"row_number() OVER ({part}ORDER BY md5({key} || '|42'), {key})"
 
 
-STRATIFIED = f"""
-    WITH rows AS (SELECT doc_id, quality AS label FROM labels),
+def _stratified(key: str) -> str:
+    """``split`` from the relation ``rows`` of ``key, label``."""
+    return f"""
     sizes AS (SELECT label, count(*)::HUGEINT AS n_c, sum(count(*)) OVER ()::HUGEINT AS n FROM rows GROUP BY label),
     shares AS (SELECT *, n - ceil(round(n * 0.2, 6))::HUGEINT AS n_train FROM sizes),
     parts AS (SELECT *, (n_c * n_train) // n AS base, (n_c * n_train) % n AS rest FROM shares),
@@ -163,12 +164,15 @@ STRATIFIED = f"""
                <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS n_test
         FROM parts
     ),
-    ranked AS (SELECT *, {_hash_rank('doc_id', 'label')} AS r FROM rows),
+    ranked AS (SELECT *, {_hash_rank(key, 'label')} AS r FROM rows),
     split AS (
-        SELECT doc_id, label, CASE WHEN r <= n_test THEN 'test' ELSE 'train' END AS split
+        SELECT {key}, label, CASE WHEN r <= n_test THEN 'test' ELSE 'train' END AS split
         FROM ranked JOIN cuts USING (label)
     )
-"""
+    """
+
+
+STRATIFIED = f"WITH rows AS (SELECT doc_id, quality AS label FROM labels), {_stratified('doc_id')}"
 
 VECTORS = "SELECT vec_id, embedding::DOUBLE[] AS v, CASE WHEN label < 3 THEN 1 ELSE 0 END AS label FROM embeddings"
 D2 = "list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
@@ -189,7 +193,10 @@ SIZES = """
 """
 
 
-def _synthetic(copies: str) -> str:
+SUMMED = "SELECT key, label, synthetic, round(list_sum(v), 6) AS x_sum, round(v[1], 6) AS x_first"
+
+
+def _synthetic(copies: str, last: str = f"{SUMMED} FROM every") -> str:
     """Original and synthetic rows from a ``vec_id, label, copies`` query over ``e``."""
 
     def number(tag: str) -> str:
@@ -213,10 +220,16 @@ def _synthetic(copies: str) -> str:
             SELECT vec_id::VARCHAR AS key, label, false AS synthetic, v FROM e
             UNION ALL SELECT key, label, synthetic, v FROM made
         )
-        SELECT key, label, synthetic, round(list_sum(v), 6) AS x_sum, round(v[1], 6) AS x_first FROM every
+        {last}
     """
 
 
+SMOTE_COPIES = f"""
+    SELECT vec_id, label, need // n + CASE WHEN r <= need % n THEN 1 ELSE 0 END AS copies
+    FROM (SELECT vec_id, label, {_hash_rank('vec_id', 'label')} AS r FROM e) JOIN sizes USING (label)
+"""
+
+
 ADASYN_COUNTS = f"""
     SELECT h.vec_id, h.label, h.others,
            round(CASE WHEN total > 0 THEN others / total ELSE 0 END, 9) AS weight,
@@ -596,10 +609,29 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, other AS prediction, votes FROM votes
         QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, other) = 1
     """,
-    "smote": _synthetic(f"""
-        SELECT vec_id, label, need // n + CASE WHEN r <= need % n THEN 1 ELSE 0 END AS copies
-        FROM (SELECT vec_id, label, {_hash_rank('vec_id', 'label')} AS r FROM e) JOIN sizes USING (label)
-    """),
+    "smote": _synthetic(SMOTE_COPIES),
+    "smoteenn": _synthetic(
+        SMOTE_COPIES,
+        f""", grown AS (SELECT key AS vec_id, label, synthetic, v FROM every)
+        {SUMMED} FROM every JOIN (
+            SELECT vec_id AS key FROM ({_knn(3, source='grown')}) GROUP BY vec_id HAVING bool_and(other = label)
+        ) USING (key)""",
+    ),
+    "preprocess_flow": f"""
+        WITH t AS ({TURNS}), classes AS ({CLASSES}),
+        rows AS (SELECT key, code AS label FROM t JOIN classes USING (label)),
+        {_stratified('key')},
+        cleaned AS (SELECT key, {_clean('text', full=True)} AS text FROM t),
+        every_terms AS ({_doc_terms('SELECT key, text FROM cleaned', 'key', True)}),
+        vocab AS (
+            SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df FROM (
+                SELECT term, sum(tf) AS cf, count(*) AS df FROM every_terms JOIN split USING (key)
+                WHERE split = 'train' GROUP BY term ORDER BY cf DESC, term LIMIT {VOCAB.max_features})
+        ),
+        n AS (SELECT count(*) AS n FROM split WHERE split = 'train')
+        SELECT key, label::DOUBLE AS label, split, idx, round(weight, 6) AS value
+        FROM ({_weighted('every_terms', 'key')}) JOIN split USING (key)
+    """,
     "adasyn_weights": f"WITH e AS ({VECTORS}), sizes AS ({SIZES}) {ADASYN_COUNTS}",
     "adasyn": _synthetic(f"SELECT vec_id, label, copies FROM ({ADASYN_COUNTS})"),
     "enn_clean": f"""

@@ -657,7 +657,8 @@ REGISTRY["gbt_predict"] = _predicted(BOOSTED)
 @query("preprocess_flow")
 def preprocess_flow(spark, folder):
     prepared = _prepared(spark, folder)
-    return V.vector_entries(prepared.features, "key", "label", "split")
+    entries = V.vector_entries(prepared.features, "key", "label", "split")
+    return entries.withColumn("value", F.round("value", 6))
 
 
 @query("stack_oof")
