@@ -201,6 +201,15 @@ def test_numeric_summary(spark):
     row = P.numeric_summary(df, "x").first()
     assert (row["count"], row["mean"], row["p25"], row["p50"], row["p75"]) == (4, 3.75, 1.75, 2.0, 4.0)
     assert row["std"] == pytest.approx(4.193249)
+    import numpy as np
+
+    values = np.random.default_rng(6).normal(size=501).round(2)
+    values[:200] = 0.25  # one value holds many rows
+    df = spark.createDataFrame([(float(x),) for x in values] + [(None,)], "x double")
+    row = P.numeric_summary(df, "x").first()
+    assert (row["p25"], row["p50"], row["p75"]) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75])))
+    assert (row["count"], row["min"], row["max"]) == (501, values.min(), values.max())
+    assert row["std"] == pytest.approx(values.std(ddof=1), abs=1e-6)
 
 
 def test_label_codes(spark):

@@ -29,6 +29,7 @@ from textforge.session import materialize
 TILE_CELLS = 1 << 22  # numbers per dense tile matrix
 MAX_TILE_ROWS = 2048
 MAX_PIVOTS = 4096
+MAX_BOUNDS = 1_000_000  # base distances kept on the driver to bound the cells
 ALL = "*"
 
 
@@ -104,9 +105,17 @@ def _first_copies(base: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _choose_pivots(base: DataFrame, n_base: int, tile: int, dim: int) -> np.ndarray:
-    """A hash-ordered sample; its size is bounded by MAX_PIVOTS and the tile memory."""
-    n = min(MAX_PIVOTS, math.ceil(n_base / tile), max(1, TILE_CELLS // max(dim, 1)))
+def _choose_pivots(
+    base: DataFrame, n_base: int, tile: int, dim: int, per_pivot: int = 1
+) -> np.ndarray:
+    """A hash-ordered sample. Its size is bounded by MAX_PIVOTS, by the tile memory and by
+    the ``per_pivot`` bounds the driver keeps for each pivot."""
+    n = min(
+        MAX_PIVOTS,
+        math.ceil(n_base / tile),
+        max(1, TILE_CELLS // max(dim, 1)),
+        max(1, MAX_BOUNDS // per_pivot),
+    )
     rows = (
         base.select("id", "idx", "val")
         .orderBy(hash_order("id", 7), "id")
@@ -260,7 +269,8 @@ def knn_join(
     n_base = s.count()
     tile = tile_rows or max(64, min(MAX_TILE_ROWS, TILE_CELLS // max(dim, 1)))
     if n_base > 2 * tile:
-        pivots = _Pivots(_choose_pivots(s, n_base, tile, dim))
+        parts = 1 if within is None else s.select("part").distinct().count()
+        pivots = _Pivots(_choose_pivots(s, n_base, tile, dim, parts * (k + 1)))
         q = materialize(_assign(q, pivots, dim), "knn-query-cells")
         s = materialize(_assign(s, pivots, dim), "knn-base-cells")
         reach = _reach(q, s, pivots.matrix, k)

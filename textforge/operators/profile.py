@@ -161,32 +161,53 @@ def duplicate_rows(df: DataFrame, key: str, *columns: str) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles (interpolated) and max.
+    """Count, mean, sample deviation, min, quartiles (interpolated) and max, all exact.
 
-    Values are counted first, so the exact percentile works on distinct values.
+    Values are counted, then cut into ranges; a value's rank is its range's start plus
+    a running count inside the range, so no task sees all distinct values.
     """
     counted = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("x"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange("x")
+        .withColumn("part", F.spark_partition_id())
     )
+    counted = materialize(counted, "value-counts")
+    ranges = counted.groupBy("part").agg(F.sum("n").alias("c"))
+    everyone = Window.partitionBy(F.lit(1))  # one row per range
+    starts = ranges.select(
+        "part",
+        (F.sum("c").over(everyone.orderBy("part")) - F.col("c")).alias("start"),
+        F.sum("c").over(everyone).alias("total"),
+    )
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("x"))
+    ranked = counted.join(F.broadcast(starts), "part").withColumn("hi", F.col("start") + running)
+
+    def at(place: Column) -> Column:
+        """The value at a 0-based place of the sorted column."""
+        here = (place >= F.col("hi") - F.col("n")) & (place < F.col("hi"))
+        return F.max(F.when(here, F.col("x")))
+
+    def quantile(q: float) -> Column:
+        place = (F.col("total") - 1) * q
+        share = F.max(place - F.floor(place))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return F.round(low + (high - low) * share, 6)
+
     n, total = F.sum("n"), F.sum(F.col("x") * F.col("n"))
     squares = F.sum(F.col("x").cast("double") * F.col("x") * F.col("n"))
-    stats = counted.agg(
-        n.alias("count"),
-        (total / n).alias("mean"),
-        F.when(n > 1, F.sqrt((squares - total.cast("double") * total / n) / (n - 1))).alias("std"),
-        F.min("x").alias("min"),
-        F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"),
-        F.max("x").alias("max"),
-    )
-    return stats.select(
-        "count",
-        F.round("mean", 6).alias("mean"),
-        F.round("std", 6).alias("std"),
-        F.col("min").cast("double").alias("min"),
-        *(F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))),
-        F.col("max").cast("double").alias("max"),
+    spread = F.greatest(squares - total.cast("double") * total / n, F.lit(0.0))
+    deviation = F.sqrt(spread / (n - 1))
+    return ranked.agg(
+        F.coalesce(n, F.lit(0)).alias("count"),
+        F.round(total / n, 6).alias("mean"),
+        F.when(n > 1, F.round(deviation, 6)).alias("std"),
+        F.min("x").cast("double").alias("min"),
+        quantile(0.25).alias("p25"),
+        quantile(0.5).alias("p50"),
+        quantile(0.75).alias("p75"),
+        F.max("x").cast("double").alias("max"),
     )
 
 

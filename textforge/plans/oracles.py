@@ -493,8 +493,8 @@ ORACLES: dict[str, str] = {
     "column_profile": _profile("doc_id text label"),
     "word_count_summary": f"""
         SELECT count(*) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
-               min(x)::DOUBLE AS min, quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50,
-               quantile_cont(x, 0.75) AS p75, max(x)::DOUBLE AS max
+               min(x)::DOUBLE AS min, round(quantile_cont(x, 0.25), 6) AS p25,
+               round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75, max(x)::DOUBLE AS max
         FROM (SELECT len({_ws_tokens('text')})::DOUBLE AS x FROM documents)
     """,
     "length_hist_by_label": f"""
