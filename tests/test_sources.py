@@ -19,9 +19,9 @@ def folder(tmp_path):
 def test_csv_quotes_newlines_and_null_tokens(spark, folder):
     path = folder(
         "a.csv",
-        'text,sentiment,n\n"say ""hi"", ok",pos,1\n"two\nlines",neg,2\nNA,None,3\n<NA>,pos,nan\n,neg,5\n',
+        'text,label,n\n"say ""hi"", ok",pos,1\n"two\nlines",neg,2\nNA,None,3\n<NA>,pos,nan\n,neg,5\n',
     )
-    df = T.load_labelled(spark, path, "text", "sentiment", infer=True)
+    df = T.load_labelled(spark, path, "text", "label", infer=True)
     assert dict(df.dtypes)["n"] == "bigint"
     assert [tuple(r) for r in df.collect()] == [
         ('say "hi", ok', "pos", 1),
