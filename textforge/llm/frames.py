@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -15,3 +16,12 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: A side is broadcast up to this many bytes; a larger one takes part in a shuffled join.
+BROADCAST_BYTES = 32 << 20
+
+
+def checked_broadcast(keys: DataFrame, row_bytes: int = 16) -> DataFrame:
+    """A written table of keys, with a broadcast hint if a count shows that it is small."""
+    return F.broadcast(keys) if keys.count() * row_bytes <= BROADCAST_BYTES else keys

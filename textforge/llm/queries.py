@@ -3,8 +3,22 @@
 from __future__ import annotations
 
 from textforge.llm.decontaminate import op10_decontamination
+from textforge.llm.exact_dedup import op7_exact_dedup
+from textforge.llm.lm_score import op9_lm_scoring
+from textforge.llm.near_dedup import op3_near_dedup
+from textforge.llm.packing import op4_best_fit_packing
+from textforge.llm.pii import op2_pii
+from textforge.llm.quality import op5_quality_classifier
+from textforge.llm.secrets import op8_secrets
 
 REGISTRY = {
+    "op2_pii": op2_pii,
+    "op3_near_dedup": op3_near_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_secrets": op8_secrets,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -14,6 +28,29 @@ _WORDS = (
 )
 
 ORACLES = {
+    "op7_exact_dedup": """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+g AS (SELECT *, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY text_sha256, doc_id) AS nth
+  FROM d WINDOW same AS (PARTITION BY text_sha256))
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND nth = 1 AS kept, text_sha256 FROM g""",
+    "op9_lm_scoring": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT r, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS history
+  FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+one AS (SELECT word, count(*) AS n FROM t GROUP BY word),
+two AS (SELECT history, word, count(*) AS n FROM t WHERE history IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+total AS (SELECT count(*) AS n FROM t),
+s AS (SELECT r, history IS NOT NULL AND two.n IS NULL AS backed, CASE
+    WHEN history IS NULL THEN ln(one.n / total.n)
+    WHEN two.n IS NULL THEN ln(one.n / total.n) + ln(0.4)
+    ELSE ln(two.n / before.n) END AS score
+  FROM t CROSS JOIN total JOIN one USING (word) LEFT JOIN two USING (history, word)
+  LEFT JOIN one AS before ON before.word = t.history)
+SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(*) FILTER (WHERE backed) AS n_backoff,
+  round(coalesce(sum(score), 0), 4) AS score
+FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id""",
     "op10_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
