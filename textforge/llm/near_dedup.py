@@ -47,6 +47,7 @@ _SLICE_ROWS = 1 << 12  # a row number and 52 bits of a shingle's hash share one
 _HASH_BITS = np.uint64(52)
 _ODD = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LEVELS = np.arange(64, dtype=np.uint64) * _STEP
 
 
 def multisets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +75,7 @@ def _pieces(row, shingle, count):
     out, low, high, level = [], 0, 1, 0
     while len(row):
         share = np.minimum((count - low) / (high - low), 1.0)
-        out.append((row, mix(shingle + np.uint64(level) * _STEP), np.full(len(row), high - low, float), share))
+        out.append((row, mix(shingle + _LEVELS[level]), np.full(len(row), high - low, float), share))
         over = count > high
         row, shingle, count = row[over], shingle[over], count[over]
         low, high, level = high, 2 * high, level + 1

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.llm.frames import fresh, table
-from textforge.llm.spans import joined, matches
+from textforge.llm.spans import joined, matches, number_of
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: Within a run of local characters only its begin (or the end of the last match) can begin a match.
@@ -152,10 +152,7 @@ def op2_pii(spark, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
     return found.select("doc_id", "found", joined(base).alias("base"), joined(F.col("found")).alias("spans")).select(
         "doc_id",
-        *[
-            F.size(F.filter("found", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind in BASE
-        ],
+        *[number_of(F.col("found"), kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2("base", 256).alias("base_sha256"),
         "spans",
     )

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.llm.frames import fresh, table
-from textforge.llm.spans import joined, labelled, matches
+from textforge.llm.spans import joined, labelled, matches, number_of
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)"""
 #: Runs are maximal, so a least length in the pattern drops exactly the shorter ones.
@@ -127,10 +127,7 @@ def op8_secrets(spark, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
     return found.select("doc_id", "found", joined(base).alias("base"), joined(F.col("found")).alias("spans")).select(
         "doc_id",
-        *[
-            F.size(F.filter("found", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind in BASE
-        ],
+        *[number_of(F.col("found"), kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2("base", 256).alias("base_sha256"),
         "spans",
     )

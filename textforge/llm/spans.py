@@ -49,3 +49,7 @@ def labelled(kind: str, rank: int, spans: Column) -> Column:
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
