@@ -9,9 +9,9 @@ sequences of at most ``capacity`` tokens:
    still fits, so the mapped total over the capacity bounds the number of sequences from below. A
    partition whose count equals its bound is certified, as is the whole when the counts add up to the
    bound over the histogram of all lengths (at most ``capacity`` rows).
-3. While the whole is not certified, the partitions exchange what lies in sequences that are not full:
-   those pieces of all partitions are dealt anew, to as few partitions as their size needs, and best
-   fit decreasing runs again. A round that saves no sequence is discarded, and it is the last.
+3. While the whole is not certified, the partitions exchange what lies in their open sequences (those
+   with some room left): these pieces are dealt anew, to as few partitions as their size needs, and
+   best fit decreasing runs again. A round that saves no sequence is discarded, and it is the last.
 
 Partitions are sized by tokens and rows, so a hot source or a group of copies only makes more of
 them; a partition holds numbers and no texts. Every round is a written table.
@@ -40,6 +40,8 @@ END_ID = 1
 #: What a partition packs: so many tokens in full sequences, and so many rows.
 PARTITION_SEQUENCES, PARTITION_ROWS = 4096, 250_000
 MAX_ROUNDS = 4
+#: A sequence with more than this share of room is open: its pieces take part in the next round.
+OPEN_ROOM = 1 / 64
 _MARK = "\x01"  # a character of its own between chunks that are encoded together
 
 
@@ -221,18 +223,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, max_rounds: int = MAX_ROUN
     histogram = np.array(items.groupBy("length").count().collect(), np.int64).reshape(-1, 2)
     bound = lower_bound(histogram[:, 0], histogram[:, 1], capacity)
     packed, used, parts = _round(items, 1, capacity)
-    done = []
+    done, n_done = [], 0
+    least = capacity - int(capacity * OPEN_ROOM)
     for number in range(2, max_rounds + 1):
-        full = sum(x.select("sequence_id").distinct().count() for x in done)
-        if full + used <= bound or parts == 1:
+        if n_done + used <= bound or parts == 1:
             break
-        open_ = packed.where(F.col("fill") < capacity)
-        again, used_again, parts = _round(open_, number, capacity)
-        kept = packed.where(F.col("fill") == capacity)
-        n_open = used - kept.select("sequence_id").distinct().count()
-        if used_again >= n_open:
+        closed = packed.where(F.col("fill") >= least)
+        n_closed = closed.select("sequence_id").distinct().count()
+        again, used_again, parts = _round(packed.where(F.col("fill") < least), number, capacity)
+        if used_again >= used - n_closed:
             break
-        done.append(kept)
+        done.append(closed)
+        n_done += n_closed
         packed, used = again, used_again
     for other in done:
         packed = packed.unionByName(other)

@@ -10,12 +10,16 @@ from textforge.llm.packing import op4_best_fit_packing
 from textforge.llm.pii import op2_pii
 from textforge.llm.quality import op5_quality_classifier
 from textforge.llm.secrets import op8_secrets
+from textforge.llm.url_filter import op1_url_filter
+from textforge.llm.warc import op6_warc
 
 REGISTRY = {
+    "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
     "op3_near_dedup": op3_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_warc": op6_warc,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_secrets": op8_secrets,
     "op9_lm_scoring": op9_lm_scoring,
@@ -28,6 +32,32 @@ _WORDS = (
 )
 
 ORACLES = {
+    "op1_url_filter": """
+WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.page_id),
+l AS (SELECT name || '.' || ending AS host FROM
+  (VALUES ('ads-track'), ('adult-x'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) AS a(name),
+  (VALUES ('example.com'), ('example.net'), ('example.org')) AS b(ending)),
+listed AS (SELECT DISTINCT p.page_id FROM p JOIN l ON p.host = l.host OR ends_with(p.host, '.' || l.host)
+  WHERE starts_with(p.path, '/'))
+SELECT p.page_id, p.host, p.path, rule,
+  coalesce(verdict, CASE WHEN listed.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN fits USING (page_id) LEFT JOIN listed USING (page_id)""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, payload_bytes, x, list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32 AS INT) + 1, 1)) AS c FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS last FROM d)
+SELECT page_id, payload_bytes, array_to_string(c, '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM g""",
     "op7_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
