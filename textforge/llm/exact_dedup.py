@@ -9,7 +9,7 @@ whatever the input; a filter too small for its table only passes more rows. Pass
 against the broadcast filter: a row whose bit is not set has no copy and passes straight through, the
 others shuffle with their SHA-256 digest, which decides. Texts never shuffle: the passes work on a
 written table of ids and digests. A large group of copies is one row per task after partial
-aggregation.
+aggregation, and its rows meet the kept one in several parts.
 
 Defined cases: of equal texts the row with the largest id stays; a null id is smaller than any id;
 of rows that are equal in text and id exactly one is kept; an id may carry several texts; an empty
@@ -25,6 +25,7 @@ from textforge.llm.frames import checked_broadcast, fresh, table
 from textforge.session import materialize
 
 FILTER_WORDS = 1 << 20
+SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,9 +68,13 @@ def copies(rows: DataFrame, filter_words: int = FILTER_WORDS) -> DataFrame:
     )
     same = probed.where(maybe).groupBy("digest", "id").agg(F.count("*").alias("n"))
     groups = same.groupBy("digest").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size"))
+    # A large group meets its kept row in SALTS parts.
+    salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS))))
+    salted = same.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    met = salted.join(groups.withColumn("salt", salts), ["digest", "salt"])
     # Equal rows were one row with a count until here.
-    each = same.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-    shuffled = each.join(groups, "digest").select(
+    each = met.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    shuffled = each.select(
         "id", "digest", "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept")
     )
     return straight.union(shuffled)
@@ -82,15 +87,17 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     several = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select("id")
     dropped = found.where("NOT kept").select("id").distinct()
     lost, digest = fresh(docs, "lost_id"), fresh(docs, "digest")
-    not_here = materialize(dropped.union(several).distinct(), "not_here").withColumnRenamed("id", lost)
     here = F.col(f"`{id_col}`").cast("long")
+    not_here = materialize(dropped.union(several).distinct().withColumnRenamed("id", lost), "not_here")
     single = docs.where(here.isNotNull()).join(checked_broadcast(not_here), here == F.col(lost), "left_anti")
-    wanted = found.where("kept").select(F.col("id").alias(lost), F.col("digest").alias("_wanted"))
-    wanted = wanted.join(several, wanted[lost].eqNullSafe(several["id"]), "left_semi")
-    unclear = docs.join(checked_broadcast(materialize(several, "several")), here.eqNullSafe(F.col("id")), "left_semi")
+    several = materialize(several.withColumnRenamed("id", lost), "several")
+    unclear = docs.join(checked_broadcast(several), here.eqNullSafe(F.col(lost)), "left_semi")
     unclear = unclear.withColumn(digest, F.sha2(ascii_lower(F.col(f"`{text_col}`")), 256))
+    wanted = fresh(docs, "wanted")
+    stays = found.where("kept").select(F.col("id").alias(lost), F.col("digest").alias(wanted))
+    stays = stays.join(several.withColumnRenamed(lost, "s"), F.col(lost).eqNullSafe(F.col("s")), "left_semi")
     kept = unclear.join(
-        wanted, here.eqNullSafe(F.col(lost)) & (F.col(digest) == F.col("_wanted")), "left_semi"
+        stays, here.eqNullSafe(F.col(lost)) & (F.col(digest) == F.col(wanted)), "left_semi"
     ).dropDuplicates([id_col, digest])
     return single.unionByName(kept.drop(digest))
 
