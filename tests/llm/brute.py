@@ -66,7 +66,7 @@ def pii(text: str | None) -> list[tuple]:
         ),
         *_spans("phone", r"\+[0-9][\x20().0-9-]+[0-9]", text, lambda m: 8 <= len(_plain(m[0])) <= 15),
         *_spans(
-            "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", text, _mod97
+            "iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])", text, _mod97
         ),
         *_spans(
             "ssn",

@@ -31,7 +31,88 @@ _WORDS = (
     r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+
+def _found(kind: str, rank: int, pattern: str, holds: str = "true") -> str:
+    """Spans of one kind: gaps and matches in turn make up the text, so their lengths give places."""
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + length(value) AS stop FROM (
+    SELECT doc_id, text, m[i] AS value, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM (SELECT doc_id, text, string_split_regex(text, '{p}') AS g, regexp_extract_all(text, '{p}') AS m FROM d),
+      unnest(range(1, len(m) + 1)) AS t(i))
+  WHERE {holds}"""
+
+
+def _span_sql(found: list[str], base: int, kinds: tuple[str, ...], order: str) -> str:
+    counts = ", ".join(f"count(s.doc_id) FILTER (s.kind = '{k}') AS n_{k}" for k in kinds)
+    text = "s.kind || ':' || s.start || ':' || s.stop"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(found)})
+SELECT d.doc_id, {counts},
+  sha256(coalesce(string_agg({text}, ',' ORDER BY {order}) FILTER (s.rank < {base}), '')) AS base_sha256,
+  coalesce(string_agg({text}, ',' ORDER BY {order}) FILTER (s.kind IS NOT NULL), '') AS spans
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id"""
+
+
+_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(reverse({_DIGITS})[i] AS INT)
+    WHEN CAST(reverse({_DIGITS})[i] AS INT) > 4 THEN 2 * CAST(reverse({_DIGITS})[i] AS INT) - 9
+    ELSE 2 * CAST(reverse({_DIGITS})[i] AS INT) END)) % 10 = 0"""
+_MOD97 = """list_reduce(list_transform(string_split(substr(replace(value, ' ', ''), 5) || substr(replace(value, ' ', ''), 1, 4), ''),
+    lambda c: CASE WHEN c <= '9' THEN CAST(c AS INT) ELSE ascii(c) - 55 END),
+    lambda a, b: (CASE WHEN b > 9 THEN a * 100 ELSE a * 10 END + b) % 97) = 1"""
+_PII = [
+    _found("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    _found(
+        "ip",
+        1,
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR "
+        "CAST('0' || right(ltrim(p, '0'), 3) AS INT) > 255)) = 0",
+    ),
+    _found("card", 2, r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}"),
+    _found("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15"),
+    _found("iban", 4, r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", _MOD97),
+    _found(  # a number that is a whole run of digits and hyphens, after one of its context words
+        "ssn",
+        5,
+        "[0-9-]+",
+        "regexp_full_match(value, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND regexp_matches(lower(substr(text, "
+        "greatest(start - 48, 0) + 1, start - greatest(start - 48, 0))), 'ssn|social|security|sozial|seguridad')",
+    ),
+]
+_WINDOWS = "list_transform(range(1, length(value) - 18), lambda i: substr(value, i, 20))"
+_ENTROPY = "round(list_entropy(string_split(w, '')), 9)"
+_SECRETS = [
+    _found(
+        "assign",
+        0,
+        r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        "length(regexp_extract(value, '^((?i)password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*"
+        "[\"'']?([A-Za-z0-9+/_.=-]+)', 2)) >= 6",
+    ),
+    _found("access", 1, "AKIA[A-Z0-9]+", "length(value) >= 20"),
+    _found("hex", 2, "[0-9a-f]+", "length(value) >= 24"),
+    _found(
+        "entropy",
+        3,
+        "[A-Za-z0-9+/_=-]{20,}",
+        f"""regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
+    AND NOT regexp_matches(value, '(?i)^(sha(1|256|384|512)|md5)[-_=]')
+    AND NOT regexp_matches(value, '(?i)example|placeholder|changeme|x{{6}}|0123456789|abcdefgh')
+    AND len(list_filter({_WINDOWS}, lambda w: {_ENTROPY} >= 3.95
+      OR (regexp_full_match(w, '[0-9a-fA-F]+') AND {_ENTROPY} >= 3.05))) > 0""",
+    ),
+]
+
 ORACLES = {
+    "op2_pii": _span_sql(_PII, 4, ("email", "ip", "card", "phone"), "s.rank, s.start"),
+    "op8_secrets": _span_sql(_SECRETS, 3, ("assign", "access", "hex"), "s.start, s.rank"),
     "op1_url_filter": """
 WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
