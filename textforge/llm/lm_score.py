@@ -7,7 +7,8 @@ N-grams of two or more words are in the tables from ``min_count`` occurrences on
 
 Relational form. Documents are cut into chunks of some megabytes, written once as numbers of words.
 Each chunk explodes into its n-grams and counts them before anything shuffles; the counts go to tables
-that are partitioned by ranges of the n-gram's 64-bit hash. A partition sums the counts of a hash, which is
+that are partitioned by ranges of the n-gram's 64-bit hash. Arrays of numbers travel as planes of their
+bytes, sorted hashes as differences: high bytes are then mostly zero and Spark's own compression removes them. A partition sums the counts of a hash, which is
 its count table, joins them to the n-grams that came in, and answers each chunk with the totals of
 its n-grams; the answers are joined to the chunks, which score their documents.
 An n-gram that makes up a third of the corpus is one entry per chunk, so no partition is hot; the
@@ -38,12 +39,24 @@ PARTITION_NGRAMS = 1 << 21
 _ODD = mix(np.arange(1, 17, dtype=np.uint64)) | np.uint64(1)
 
 
-def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+def _packed(numbers: np.ndarray, kind: str = "<u8") -> bytes:
+    """The numbers as planes: all lowest bytes first, all highest bytes last."""
+    wide = np.ascontiguousarray(numbers.astype(kind, copy=False))
+    return wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes()
 
 
-def _one_list(values: np.ndarray) -> pa.Array:
-    return _lists(values, np.array([0, len(values)]))
+def _unpacked(value: pa.BinaryScalar, kind: str = "<u8") -> np.ndarray:
+    size, data = np.dtype(kind).itemsize, value.as_py()
+    planes = np.frombuffer(data, np.uint8).reshape(size, len(data) // size)
+    return np.frombuffer(planes.T.tobytes(), kind)
+
+
+def _packed_sorted(numbers: np.ndarray) -> bytes:
+    return _packed(np.diff(numbers, prepend=np.uint64(0)))
+
+
+def _unpacked_sorted(value: pa.BinaryScalar) -> np.ndarray:
+    return np.cumsum(_unpacked(value), dtype=np.uint64)
 
 
 def _chunks(batches):
@@ -52,34 +65,32 @@ def _chunks(batches):
         for begin, end in row_slices(batch.column(1), CHUNK_BYTES):
             part = batch.slice(begin, end - begin)
             words, places = word_hashes(part.column(1))
-            known, index = np.unique(words, return_inverse=True)
+            known, index, often = np.unique(words, return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")  # frequent words get small numbers
+            rank = np.empty(len(known), np.uint32)
+            rank[order] = np.arange(len(known), dtype=np.uint32)
             ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([(task << 32) | number], pa.int64()),
                     ids,
-                    _one_list(np.diff(places).astype(np.int64)),
-                    _one_list(known.view(np.int64)),
-                    _one_list(index.astype(np.int32)),
+                    pa.array([_packed(np.diff(places))], pa.binary()),
+                    pa.array([_packed(known[order])], pa.binary()),
+                    pa.array([_packed(rank[index], "<u4")], pa.binary()),
+                    pa.array([len(words)], pa.int64()),
                 ],
-                names=["chunk", "ids", "sizes", "known", "words"],
+                names=["chunk", "ids", "sizes", "known", "words", "n_words"],
             )
             number += 1
 
 
-_CHUNK = "chunk long, ids array<long>, sizes array<long>, known array<long>, words array<int>"
-
-
-def _values(table: pa.Table, name: str, row: int = 0) -> np.ndarray:
-    column = table.column(name)
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column[row].values.to_numpy(zero_copy_only=False)
+_CHUNK = "chunk long, ids array<long>, sizes binary, known binary, words binary, n_words long"
 
 
 def _ngrams(chunk, row: int, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """The n-gram hashes that end at each word, per order; each word's place in its document."""
-    sizes = _values(chunk, "sizes", row)
-    words = _values(chunk, "known", row).view(np.uint64)[_values(chunk, "words", row)]
+    sizes = _unpacked(chunk.column("sizes")[row]).astype(np.int64)
+    words = _unpacked(chunk.column("known")[row])[_unpacked(chunk.column("words")[row], "<u4")]
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     hashes, value = [], np.zeros(len(words), np.uint64)
     for n in range(order):
@@ -102,14 +113,14 @@ def _counted(order: int, bits: int):
             for row in range(batch.num_rows):
                 _, place, hashes = _ngrams(batch, row, order)
                 keys, counts = np.unique(_all_keys(place, hashes), return_counts=True)
-                ends = np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)]))
-                n = 1 << bits
+                ends = np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)])).tolist()
+                parts = list(zip(ends, ends[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(n, dtype=np.int32)),
-                        pa.array(np.full(n, batch.column(0)[row].as_py(), np.int64)),
-                        _lists(keys.view(np.int64), ends),
-                        _lists(counts.astype(np.int64), ends),
+                        pa.array(np.arange(len(parts), dtype=np.int32)),
+                        pa.array(np.full(len(parts), batch.column(0)[row].as_py(), np.int64)),
+                        pa.array([_packed_sorted(keys[lo:hi]) for lo, hi in parts], pa.binary()),
+                        pa.array([_packed(counts[lo:hi]) for lo, hi in parts], pa.binary()),
                     ],
                     names=["part", "chunk", "keys", "counts"],
                 )
@@ -119,27 +130,20 @@ def _counted(order: int, bits: int):
 
 def _totals(group: pa.Table) -> pa.Table:
     """The count table of a partition, joined to the n-grams of each chunk."""
-    group = group.combine_chunks()
-    keys = group.column("keys").combine_chunks()
-    values = keys.flatten().to_numpy(zero_copy_only=False)
-    counts = group.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    known, index = np.unique(values, return_inverse=True)
-    total = np.zeros(len(known), np.int64)
+    keys = [_unpacked_sorted(x) for x in group.column("keys")]
+    counts = np.concatenate([_unpacked(x) for x in group.column("counts")])
+    known, index = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(known), np.uint64)
     np.add.at(total, index, counts)
-    ends = np.concatenate(([0], np.cumsum(keys.value_lengths().to_numpy(zero_copy_only=False))))
-    return pa.table(
-        {
-            "part": group.column("part"),
-            "chunk": group.column("chunk"),
-            "totals": _lists(total[index], ends),
-        }
-    )
+    ends = np.cumsum([0, *map(len, keys)]).tolist()
+    totals = [_packed(total[index[lo:hi]]) for lo, hi in zip(ends, ends[1:], strict=False)]
+    columns = [group.column("part"), group.column("chunk"), pa.array(totals, pa.binary())]
+    return pa.Table.from_arrays(columns, names=["part", "chunk", "totals"])
 
 
 def _scored(order: int, alpha: float, min_count: int, n_words: int):
     def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("part").combine_chunks()
-        totals = answers.column("totals").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        totals = np.concatenate([_unpacked(x) for x in answers.sort_by("part").column("totals")])
         sizes, place, hashes = _ngrams(chunk, 0, order)
         keys, index = np.unique(_all_keys(place, hashes), return_inverse=True)
         found = totals[index].astype(float)
@@ -165,7 +169,7 @@ def _scored(order: int, alpha: float, min_count: int, n_words: int):
         document = np.repeat(np.arange(len(sizes)), sizes)
         return pa.table(
             {
-                "id": pa.array(chunk.column("ids").combine_chunks()[0].values),
+                "id": chunk.column("ids")[0].values,
                 "n_words": pa.array(sizes),
                 "n_backoff": pa.array(np.bincount(document, backed > 0, len(sizes)).astype(np.int64)),
                 "score": pa.array(np.bincount(document, logs, len(sizes))),
@@ -178,9 +182,9 @@ def _scored(order: int, alpha: float, min_count: int, n_words: int):
 def count_tables(chunks: DataFrame, order: int = ORDER, n_words: int | None = None) -> DataFrame:
     """``part, chunk, keys, counts``: the n-grams of each chunk, by range of their hash."""
     if n_words is None:
-        n_words = chunks.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+        n_words = chunks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(0, (order * n_words // PARTITION_NGRAMS).bit_length())
-    return chunks.mapInArrow(_counted(order, bits), "part int, chunk long, keys array<long>, counts array<long>")
+    return chunks.mapInArrow(_counted(order, bits), "part int, chunk long, keys binary, counts binary")
 
 
 def score_documents(
@@ -194,9 +198,9 @@ def score_documents(
     """``id, n_words, n_backoff, score`` of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chunks = materialize(rows.mapInArrow(_chunks, _CHUNK), "chunks")
-    n_words = chunks.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    n_words = chunks.agg(F.sum("n_words")).first()[0] or 0
     tables = count_tables(chunks, order, n_words)
-    answers = tables.groupBy("part").applyInArrow(_totals, "part int, chunk long, totals array<long>")
+    answers = tables.groupBy("part").applyInArrow(_totals, "part int, chunk long, totals binary")
     both = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     return both.applyInArrow(
         _scored(order, alpha, min_count, n_words), "id long, n_words long, n_backoff long, score double"
