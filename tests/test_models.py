@@ -162,3 +162,61 @@ def test_stream_equals_batch(three, spark, tmp_path):
     want = sorted(map(tuple, classifier.score(batch).select("text", "predicted_label").collect()))
     assert sorted(map(tuple, scored.collect())) == want
     assert ("I love this, great!", "good") in want
+
+
+def test_deep_trees_are_refused(three):
+    _, prepared = three
+    for kind in ("random_forest", "boosted_trees"):
+        with pytest.raises(ValueError, match="max_depth 50"):
+            M.fit_model(prepared.train, M.ModelSpec("deep", kind, {"max_depth": 50}), 3)
+
+
+def test_null_labels_are_a_class(spark):
+    rows = [(f"k{i}", f"word{i % 7} text", None if i % 3 == 0 else "ab"[i % 2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, text string, label string")
+    options = VectorizerOptions(max_features=20)
+    prepared = flows.prepare(df, "id", "text", "label", vectorizer=options)
+    assert prepared.features.count() == 30 and prepared.n_classes == 3
+    assert flows.processed_table(df, "id", "text", "label")[0].count() == 30
+    assert flows.prepare(df, "id", "text", "label", vectorizer=options, null_label=None).features.count() == 20
+
+
+def test_training_run_leaves_no_intermediate_tables(three, spark):
+    from pathlib import Path
+
+    from textforge.session import shared_dir
+
+    df, _ = three
+    out = scratch_path(spark, "training")
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "textforge"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    specs = [LOGISTIC, NEAREST, M.ModelSpec("stack", "stacking", {
+        "base_models": ("logistic", "knn"), "meta_model": "logistic", "cv": 2})]
+    options = VectorizerOptions(max_features=30)
+    trained = flows.run_training(df, "id", "text", "label", out, specs=specs, vectorizer=options)
+    assert {p.name for p in set(folder.iterdir()) - before} == {Path(out).name}
+    assert trained.scores.count() == 3 and spark.read.parquet(f"{out}/best_model").count() == 1
+    classifier = flows.TextClassifier.load(spark, f"{out}/models/stack")
+    assert classifier.score(df).count() == 90
+
+
+def test_empty_resampling_keeps_its_row(three, monkeypatch):
+    _, prepared = three
+    real = flows.balanced
+    monkeypatch.setattr(flows, "balanced", lambda df, m, *a: real(df, "none", *a).limit(0 if m == "smoteenn" else 1000))
+    out = {r.model: r.accuracy for r in flows.sweep_balancing(prepared, ("none", "smoteenn"), FOREST).collect()}
+    assert out["smoteenn"] is None and out["none"] > 0.5
+
+
+def test_stacked_neighbors_score_a_stream(three, spark, tmp_path):
+    df, prepared = three
+    spec = M.ModelSpec("v", "stacking", {
+        "base_models": (NEAREST, LOGISTIC), "meta_model": FOREST, "cv": 2})
+    classifier = flows.TextClassifier.of(prepared, flows.train_stack_variant(prepared, spec))
+    df.withColumnRenamed("id", "key").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("key string, text string, label string").parquet(str(tmp_path / "in"))
+    out = scratch_path(spark, "scored")
+    scoring.write_scored(stream, classifier, out, scratch_path(spark, "scored-checkpoint")).awaitTermination()
+    streamed = {r.key: r.predicted_label for r in spark.read.parquet(out).collect()}
+    batch = classifier.score(df.withColumnRenamed("id", "key")).select("key", "predicted_label").collect()
+    assert streamed == {r.key: r.predicted_label for r in batch} and len(streamed) == 90

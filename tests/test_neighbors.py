@@ -42,12 +42,13 @@ def _frame(spark, points, labels, sparse=False):
 
 
 @pytest.mark.parametrize("within", [None, "label"])
-@pytest.mark.parametrize("tile", [None, 25])
-def test_exact_neighbors_with_a_hot_copy(spark, within, tile):
+@pytest.mark.parametrize("blocks, cells", [(None, 1 << 22), (7, 1 << 22), (4, 100)])
+def test_exact_neighbors_with_a_hot_copy(spark, within, blocks, cells, monkeypatch):
+    monkeypatch.setattr(N, "TILE_CELLS", cells)
     points = _cloud(400, 5, 1)
     labels = np.arange(400) % 3
     df = _frame(spark, points, labels)
-    near = N.knn_join(df, df, 4, within=within, tile_rows=tile)
+    near = N.knn_join(df, df, 4, within=within, exclude_self=True, blocks=blocks)
     got = {}
     for r in near.orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.neighbor)
@@ -61,31 +62,41 @@ def test_copies_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_routing_prunes(spark):
-    points = _cloud(400, 5, 2)
-    points[:, 0] += np.arange(400) // 100 * 500  # four far groups
-    df = _frame(spark, points, np.zeros(400))
-    rows = N._rows(df, "id", "features", None)
-    pivots = N._Pivots(N._choose_pivots(rows, 400, 20, 5))
-    cells = N._assign(rows, pivots, 5)
-    reach = N._reach(cells, cells, pivots.matrix, 4)
-    sent = N._route(cells, pivots, reach, 5).count()
-    assert sent < 400 * len(pivots.matrix) / 2
+def test_both_sides_are_always_cut(spark):
+    rows = N._rows(_frame(spark, _cloud(300, 5, 2), np.zeros(300)), "id", "features", None)
+    assert N._n_blocks(rows) == 4
+    pairs = N._blocked(rows, "qb", 4, "sb", 4).groupBy("qb", "sb").count().collect()
+    assert len(pairs) == 16 and max(r["count"] for r in pairs) < 150
+
+
+def test_keys_of_another_table_are_not_excluded(spark):
+    base = _frame(spark, np.array([[0.0], [100.0]]), [0, 1]).withColumn("id", F.col("id") + 1)
+    query = _frame(spark, np.array([[0.0]]), [0]).withColumn("id", F.lit(1).cast("bigint"))
+    assert N.knn_join(query, base, 1).first().neighbor == 1
+    assert N.knn_classify(query, base, 1).first().prediction == 0
+    assert N.knn_join(query, base, 1, exclude_self=True).first().neighbor == 2
+
+
+def test_bound_on_fitted_rows(spark):
+    df = _frame(spark, _cloud(50, 3, 6), [0] * 40 + [1] * 10)
+    assert N.first_rows(df, "id", 12).count() == 12 and N.first_rows(df, "id", None).count() == 50
+    bounded = R.balanced(df, "smote", "id", "features", "label", max_fit_rows=30)
+    assert bounded.filter("NOT key LIKE '%#%'").count() == 30
 
 
 def test_sparse_equals_dense(spark):
     points = np.where(np.random.default_rng(3).random((60, 12)) < 0.3, 1.5, 0.0)
     labels = np.arange(60) % 2
     dense, sparse = _frame(spark, points, labels), _frame(spark, points, labels, sparse=True)
-    a = N.knn_join(dense, dense, 3).orderBy("id", "rank").collect()
-    b = N.knn_join(sparse, sparse, 3).orderBy("id", "rank").collect()
+    a = N.knn_join(dense, dense, 3, exclude_self=True).orderBy("id", "rank").collect()
+    b = N.knn_join(sparse, sparse, 3, exclude_self=True).orderBy("id", "rank").collect()
     assert a == b
 
 
 def test_fewer_rows_than_neighbors(spark):
     df = _frame(spark, np.array([[0.0], [1.0], [5.0]]), [0, 0, 1])
-    assert N.knn_join(df, df, 5).groupBy("id").count().filter("count <> 2").count() == 0
-    inside = N.knn_join(df, df, 5, within="label").collect()
+    assert N.knn_join(df, df, 5, exclude_self=True).groupBy("id").count().filter("count <> 2").count() == 0
+    inside = N.knn_join(df, df, 5, within="label", exclude_self=True).collect()
     assert sorted((r.id, r.neighbor) for r in inside) == [(0, 1), (1, 0)]
 
 
@@ -116,6 +127,13 @@ def test_smote_rows_lie_between_a_row_and_its_neighbor(spark, sparse, monkeypatc
         assert 0 <= r.u < 1
 
 
+def test_synthetic_vectors_are_made_in_the_jvm(spark):
+    points = np.where(np.random.default_rng(4).random((20, 8)) < 0.5, 1.0, 0.0)
+    df = _frame(spark, points, [0] * 15 + [1] * 5, sparse=True)
+    lines = R._between(df.select(F.col("features").alias("a"), F.col("features").alias("b"), F.lit(0.5).alias("u")), "a", "b", "u", "out")
+    assert "Python" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def test_smote_leaves_a_single_row_class(spark):
     df = _frame(spark, np.array([[0.0], [1.0], [2.0]]), [0, 0, 1])
     assert R.smote(df, "id", "features", "label").count() == 3

@@ -278,3 +278,46 @@ def test_confusion_matrix_covers_both_label_sets(spark):
 def test_best_model_first_wins_ties(spark):
     df = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.1)], "model string, accuracy double")
     assert E.best_model(df).first().model == "a"
+
+
+def test_numeric_summary_of_large_values(spark):
+    from textforge.operators.profile import numeric_summary
+
+    for base in (10**9, 10**15):
+        df = spark.range(1000).selectExpr(f"{base}L + id % 3 AS x")
+        row = numeric_summary(df, "x").first()
+        if base == 10**9:
+            assert abs(row["std"] - 0.817) < 1e-3
+        assert row["count"] == 1000 and row["p50"] == base + 1
+
+
+def test_data_statistics(spark):
+    from textforge.operators.profile import data_stats
+
+    df = spark.createDataFrame([("a", "x"), (None, "x"), ("b", "y"), ("c", None)], "text string, label string")
+    assert data_stats(df, "text", "label").first().asDict() == {
+        "total_rows": 4, "total_columns": 2, "missing_text": 1, "missing_label": 1,
+        "unique_labels": 2, "label_shares": "x:0.6667,y:0.3333",
+    }
+    assert data_stats(df.where("text = 'none'"), "text", "label").first().total_rows == 0
+
+
+def test_english_stop_words(spark):
+    from textforge.operators.vectorize import VectorizerOptions, fit_vectorizer
+
+    df = spark.createDataFrame([("the cat is here and sat",)], "text string")
+    fitted = fit_vectorizer(df, "text", VectorizerOptions("count", 10, (1, 1), "english"))
+    assert [r.term for r in fitted.vocab.orderBy("idx").collect()] == ["cat", "sat"]
+    with pytest.raises(ValueError, match="klingon"):
+        VectorizerOptions(stop_words="klingon")
+
+
+def test_lemmas_by_join_equal_lemmas_by_look_up(spark, monkeypatch):
+    from textforge.operators import words as W
+
+    df = spark.createDataFrame([(1, ["cats", "sat", "cats"]), (2, []), (3, None), (4, ["dogs"])], "id int, t array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("sat", "sat")], "word string, lemma string")
+    near = sorted(map(str, W.lemmatize(df, "id", "t", lemmas).collect()))
+    monkeypatch.setattr(W, "LEMMA_BYTES", 0)
+    assert sorted(map(str, W.lemmatize(df, "id", "t", lemmas).collect())) == near
+    assert "cat" in near[0]

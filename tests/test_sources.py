@@ -99,3 +99,16 @@ def test_reports_and_run_metrics(spark):
     table = sinks.read_run_metrics(spark, runs)
     assert table.count() == 2 * len(names)
     assert table.filter(F.col("params")["cap"] == "10").count() == len(names)
+
+
+def test_large_file_is_read_in_splits(spark, tmp_path):
+    path = tmp_path / "large.csv"
+    path.write_text("text,label\n" + "".join(f"some text {i},{i % 3}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        one = T.load_labelled(spark, str(path), "text", "label")
+        many = T.load_labelled(spark, str(path), "text", "label", multi_line=False, maxColumns="10")
+        assert one.rdd.getNumPartitions() == 1 < many.rdd.getNumPartitions()
+        assert one.count() == many.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

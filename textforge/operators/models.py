@@ -7,7 +7,6 @@ Every fitted model has ``score(df)``, which adds ``prediction`` (double) and
 from __future__ import annotations
 
 import json
-import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
@@ -24,12 +23,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textforge.operators.neighbors import knn_join, knn_votes
+from textforge.operators.neighbors import first_rows, knn_join, knn_votes
 from textforge.operators.split import kfold, with_class_weight
 from textforge.session import materialize
 
 SEED = 42
-MIN_PARTITION_ROWS = 2000
+MAX_DEPTH = 30  # the deepest tree that Spark grows
 
 
 @dataclass(frozen=True)
@@ -116,7 +115,8 @@ class MLModel:
 
 
 class NearestModel:
-    """k-NN votes against a stored training table."""
+    """k-NN votes against a stored training table. ``score`` takes batches only; streams are
+    scored batch by batch (``streaming.scoring.write_scored``)."""
 
     def __init__(self, train: DataFrame, k: int, n_classes: int, key: str):
         self.train, self.k, self.n_classes, self.key = train, k, n_classes, key
@@ -180,6 +180,12 @@ def load_model(spark: SparkSession, path: str):
     return MLModel(_LOADERS[note["kind"]].load(f"{path}/model"), note["kind"])
 
 
+def _depth(wanted: int) -> int:
+    if wanted > MAX_DEPTH:
+        raise ValueError(f"max_depth {wanted}: trees deeper than {MAX_DEPTH} are not supported")
+    return wanted
+
+
 def estimator(spec: ModelSpec, n_classes: int, total_weight: float, seed: int = SEED):
     """The unfitted Spark ML estimator of a spec, and the kind its model is stored as."""
     p = spec.params
@@ -195,7 +201,7 @@ def estimator(spec: ModelSpec, n_classes: int, total_weight: float, seed: int =
     elif spec.kind == "random_forest":
         est = RandomForestClassifier(
             numTrees=p.get("n_estimators", 100),
-            maxDepth=min(p.get("max_depth", 10), 30),
+            maxDepth=_depth(p.get("max_depth", 10)),
             featureSubsetStrategy="sqrt",
             minInstancesPerNode=max(1, p.get("min_samples_split", 2) // 2),
             seed=seed,
@@ -203,7 +209,7 @@ def estimator(spec: ModelSpec, n_classes: int, total_weight: float, seed: int =
     elif spec.kind == "boosted_trees":
         booster = GBTClassifier(
             maxIter=p.get("n_estimators", 100),
-            maxDepth=min(p.get("max_depth", 6), 30),
+            maxDepth=_depth(p.get("max_depth", 6)),
             stepSize=p.get("learning_rate", 0.1),
             seed=seed,
         )
@@ -227,35 +233,39 @@ def fit_model(
     *,
     key: str = "key",
     others: dict[str, ModelSpec] | None = None,
+    fitted: dict[str, object] | None = None,
     seed: int = SEED,
 ):
     """Fit one spec on ``key, label (0..K-1), features``.
 
-    ``others`` names the specs a stacking spec refers to.
+    ``others`` names the specs a stacking spec refers to; those among them that are already
+    fitted on the same rows can be handed in as ``fitted``. k-NN compares every scored row with every
+    stored one: its parameter ``max_fit_rows`` bounds the stored rows, the first in hash order.
     """
     if spec.kind == "stacking":
         by_name = others or {}
+        known = {
+            by_name[b].name: (fitted or {})[b]
+            for b in spec.params["base_models"]
+            if isinstance(b, str) and b in (fitted or {})
+        }
         bases = [
             b if isinstance(b, ModelSpec) else by_name[b] for b in spec.params["base_models"]
         ]
         meta = spec.params["meta_model"]
         meta = meta if isinstance(meta, ModelSpec) else by_name[meta]
-        return fit_stack(train, bases, meta, n_classes, spec.params.get("cv", 5), key=key, seed=seed)
+        return fit_stack(
+            train, bases, meta, n_classes, spec.params.get("cv", 5), key=key, seed=seed, fitted=known
+        )
     if spec.kind == "knn":
-        stored = materialize(train.select(key, "label", "features"), "knn-train")
+        rows = first_rows(train.select(key, "label", "features"), key, spec.params.get("max_fit_rows"))
+        stored = materialize(rows, "knn-train")
         return NearestModel(stored, spec.params.get("n_neighbors", 5), n_classes, key)
     rows = train.count()  # balanced weights add up to the row count as well
     if spec.params.get("class_weight") == "balanced":
         train = with_class_weight(train, "label")
     est, kind = estimator(spec, n_classes, float(rows), seed)
-    return MLModel(est.fit(_packed(train, rows)), kind)
-
-
-def _packed(train: DataFrame, rows: int) -> DataFrame:
-    """Fewer partitions for a small table: an iterative fit pays for every task, every
-    iteration. A table of many rows keeps its partitions."""
-    wanted = math.ceil(rows / MIN_PARTITION_ROWS) or 1
-    return train.coalesce(wanted) if wanted < train.rdd.getNumPartitions() else train
+    return MLModel(est.fit(train), kind)
 
 
 def stack_features(df: DataFrame, models: list, n_classes: int) -> DataFrame:
@@ -309,13 +319,16 @@ def fit_stack(
     *,
     key: str = "key",
     seed: int = SEED,
+    fitted: dict[str, object] | None = None,
 ) -> StackedModel:
-    """The meta model learns from out-of-fold probabilities; the bases are refitted on all rows."""
+    """The meta model learns from out-of-fold probabilities; the bases are fitted on all rows
+    unless ``fitted`` has them by name."""
     oof = out_of_fold(train, bases, n_classes, cv, key=key, seed=seed)
     meta_model = fit_model(oof, meta, n_classes, key=key, seed=seed)
-    return StackedModel(
-        [fit_model(train, b, n_classes, key=key, seed=seed) for b in bases], meta_model, n_classes
-    )
+    whole = [
+        (fitted or {}).get(b.name) or fit_model(train, b, n_classes, key=key, seed=seed) for b in bases
+    ]
+    return StackedModel(whole, meta_model, n_classes)
 
 
 def predict_all(models: dict[str, object], test: DataFrame, key: str = "key") -> DataFrame:

@@ -1,20 +1,18 @@
 """Exact k-nearest-neighbour join over dense or sparse vectors.
 
-Rows are grouped by their nearest pivot (a bounded sample of the base rows). From
-the distances to the pivots, each cell of query rows gets an upper bound on the
-distance of its k-th neighbour; a base row is sent only to the cells it can still
-matter for (triangle inequality). A cell is cut into tiles of bounded size, each
-tile is one matrix product, and it returns k rows per query row: pairs are never
-written out. The tiles' answers are merged by a top-k window.
-
-A hot cell is more tiles, not a bigger task. Copies of one base vector beyond the
-first k + 1 (by key) cannot be among anyone's k nearest, so they are left out.
+Both sides are always cut into blocks by key hash. A pair of blocks is one task: it computes its
+distances piece by piece, each piece within a fixed number of cells, and returns k rows per query row.
+Pairs are never written out; the answers of the blocks are merged by a top-k window. The block of a
+row does not depend on its vector, so a crowded region or a hot class is no larger task.
+
+Copies of one base vector beyond the first k + 1 (by key) cannot be among anyone's k nearest, so
+they are left out. The work is the product of the two sides: for a large base, bound the rows that
+are fitted on (``max_fit_rows`` in models and resampling); scoring is then linear in the query rows.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,10 +24,8 @@ from pyspark.sql import types as T
 from textforge.operators.ranks import hash_order
 from textforge.session import materialize
 
-TILE_CELLS = 1 << 22  # numbers per dense tile matrix
-MAX_TILE_ROWS = 2048
-MAX_PIVOTS = 4096
-MAX_BOUNDS = 1_000_000  # base distances kept on the driver to bound the cells
+TILE_CELLS = 1 << 22  # numbers per dense piece of a task
+LEAST_BLOCKS = 4  # per side
 ALL = "*"
 
 
@@ -45,16 +41,6 @@ def _parts(df: DataFrame, vec: str) -> tuple[Column, Column]:
     return F.lit(None).cast("array<int>"), F.col(vec).cast("array<double>")
 
 
-def vector_size(df: DataFrame, vec: str) -> int:
-    if _is_vector(df, vec):
-        parts = F.unwrap_udt(F.col(vec))
-        size = F.coalesce(parts["size"], F.size(parts["values"]))
-    else:
-        size = F.size(vec)
-    row = df.filter(F.col(vec).isNotNull()).select(size.alias("n")).first()
-    return 0 if row is None else row["n"]
-
-
 def _rows(df: DataFrame, key: str, vec: str, within: str | None) -> DataFrame:
     idx, val = _parts(df, vec)
     part = F.lit(ALL) if within is None else F.col(within).cast("string")
@@ -63,31 +49,9 @@ def _rows(df: DataFrame, key: str, vec: str, within: str | None) -> DataFrame:
     )
 
 
-def _matrix(pdf: pd.DataFrame, dim: int) -> np.ndarray:
-    out = np.zeros((len(pdf), dim))
-    for i, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
-        if idx is None:
-            out[i] = val
-        else:
-            out[i, idx] = val
-    return out
-
-
-def _square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.maximum(d, 0.0)
-
-
-@dataclass
-class _Pivots:
-    """Pivot matrix and, per class, how far base rows must travel."""
-
-    matrix: np.ndarray
-
-    def nearest(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d = _square_distances(rows, self.matrix)
-        cell = d.argmin(1)
-        return cell, np.sqrt(((rows - self.matrix[cell]) ** 2).sum(1))
+def first_rows(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    """At most ``n`` rows, the first in hash order; all of them if ``n`` is None."""
+    return df if n is None else df.orderBy(hash_order(key, 7), key).limit(n)
 
 
 def _first_copies(base: DataFrame, k: int) -> DataFrame:
@@ -105,137 +69,92 @@ def _first_copies(base: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _choose_pivots(
-    base: DataFrame, n_base: int, tile: int, dim: int, per_pivot: int = 1
-) -> np.ndarray:
-    """A hash-ordered sample. Its size is bounded by MAX_PIVOTS, by the tile memory and by
-    the ``per_pivot`` bounds the driver keeps for each pivot."""
-    n = min(
-        MAX_PIVOTS,
-        math.ceil(n_base / tile),
-        max(1, TILE_CELLS // max(dim, 1)),
-        max(1, MAX_BOUNDS // per_pivot),
-    )
-    rows = (
-        base.select("id", "idx", "val")
-        .orderBy(hash_order("id", 7), "id")
-        .limit(n)
-        .select("idx", "val")
-        .toPandas()
-    )
-    return _matrix(rows, dim)
+def _n_blocks(rows: DataFrame) -> int:
+    """Blocks of at most about TILE_CELLS stored numbers each."""
+    cells = rows.agg(F.sum(F.size("val").cast("long"))).first()[0] or 0
+    return max(LEAST_BLOCKS, math.ceil(cells / TILE_CELLS))
 
 
-def _assign(rows: DataFrame, pivots: _Pivots, dim: int) -> DataFrame:
-    schema = T.StructType(
-        rows.schema.fields
-        + [T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())]
+def _blocked(rows: DataFrame, own: str, n_own: int, cross: str, n_cross: int) -> DataFrame:
+    """Each row in one block of its own side, copied to every block of the other."""
+    return rows.select(
+        "part",
+        F.pmod(F.xxhash64("id", F.lit(11)), F.lit(n_own)).cast("int").alias(own),
+        F.explode(F.sequence(F.lit(0), F.lit(n_cross - 1))).alias(cross),
+        "id",
+        "idx",
+        "val",
     )
 
-    def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                cell, far = pivots.nearest(_matrix(pdf, dim))
-                yield pdf.assign(cell=cell.astype("int32"), far=far)
 
-    return rows.mapInPandas(assign, schema)
+def _columns(q: pd.DataFrame, s: pd.DataFrame) -> np.ndarray | None:
+    """The dimensions that sparse blocks use; None if a row is dense."""
+    used = [*q["idx"], *s["idx"]]
+    return None if any(i is None for i in used) else np.unique(np.concatenate(used))
 
 
-def _reach(queries: DataFrame, base: DataFrame, pivots: np.ndarray, k: int) -> dict:
-    """Per class: radius and k-th-neighbour bound of each query cell.
-
-    Collected: one row per (class, cell), and k + 1 base distances per (class, cell).
-    """
-    radius = queries.groupBy("part", "cell").agg(F.max("far").alias("far")).collect()
-    order = Window.partitionBy("part", "cell").orderBy("far")
-    close = (
-        base.select("part", "cell", "far", F.row_number().over(order).alias("r"))
-        .filter(F.col("r") <= k + 1)
-        .collect()
-    )
-    apart = np.sqrt(_square_distances(pivots, pivots))
-    near: dict[str, tuple[list, list]] = {}
-    for row in close:
-        cells, far = near.setdefault(row["part"], ([], []))
-        cells.append(row["cell"])
-        far.append(row["far"])
-    reach: dict[str, tuple[list, list]] = {}
-    for row in radius:
-        if row["part"] not in near:
-            continue
-        cells, far = near[row["part"]]
-        bounds = row["far"] + apart[row["cell"], cells] + np.array(far)
-        # k + 1: one of the rows counted may be the query row itself.
-        kth = np.partition(bounds, k)[k] if len(bounds) > k else np.inf
-        mine = reach.setdefault(row["part"], ([], []))
-        mine[0].append(row["cell"])
-        mine[1].append(row["far"] + kth)
-    return {p: (np.array(c), np.array(r)) for p, (c, r) in reach.items()}
-
-
-def _route(base: DataFrame, pivots: _Pivots, reach: dict, dim: int) -> DataFrame:
-    """Base rows copied to each query cell they may have a neighbour in (column ``cell``)."""
-    schema = T.StructType(
-        [f for f in base.schema.fields if f.name not in ("cell", "far")]
-        + [T.StructField("cell", T.IntegerType())]
-    )
-
-    def route(batches):
-        for pdf in batches:
-            for part, group in pdf.groupby("part", sort=False):
-                if part not in reach:
-                    continue
-                cells, limit = reach[part]
-                d = np.sqrt(_square_distances(_matrix(group, dim), pivots.matrix[cells]))
-                row, col = np.nonzero(d <= limit[None, :] * (1 + 1e-9) + 1e-6)
-                sent = group.iloc[row].drop(columns=["cell", "far"])
-                yield sent.assign(cell=cells[col].astype("int32"))
+def _matrix(pdf: pd.DataFrame, columns: np.ndarray | None, width: int) -> np.ndarray:
+    out = np.zeros((len(pdf), width))
+    for i, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
+        if idx is None:
+            out[i, : len(val)] = val
+        else:
+            out[i, idx if columns is None else np.searchsorted(columns, idx)] = val
+    return out
 
-    return base.mapInPandas(route, schema)
 
+def _square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+    return np.maximum(d, 0.0)
 
-def _tiles(rows: DataFrame, other: DataFrame, own: str, cross: str, tile: int) -> DataFrame:
-    """Salt each row into one block of its own side and copy it to every block of the other.
 
-    ``other`` is the block table ``part, cell, own, cross`` (one row per class and cell).
-    """
-    mine = F.pmod(F.xxhash64("id", F.lit(11)), F.col(own)).cast("int")
-    return (
-        rows.join(other, ["part", "cell"])
-        .withColumn("_own", mine)
-        .withColumn("_cross", F.explode(F.sequence(F.lit(0), F.col(cross) - 1)))
-        .select("part", "cell", F.col("_own").alias(own), F.col("_cross").alias(cross), "id", "idx", "val")
-    )
+def _nearest(qid, a: np.ndarray, sid, b: np.ndarray, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k nearest rows of ``b``, whose ids rise, for every row of ``a``."""
+    rough = _square_distances(a, b)
+    if exclude_self:
+        rough[qid[:, None] == sid[None, :]] = np.inf
+    # Everything within rounding of the k-th distance is measured again exactly.
+    slack = 1e-9 * (1.0 + float((a * a).sum(1).max()) + float((b * b).sum(1).max()))
+    if len(sid) > k:
+        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
+        row, col = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+    else:
+        row, col = np.nonzero(np.isfinite(rough))
+    exact = ((b[col] - a[row]) ** 2).sum(1)
+    order = np.lexsort((col, exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return pd.DataFrame({"id": qid[row[best]], "neighbor": sid[col[best]], "d2": exact[best]})
 
 
-def _nearest_in_tile(k: int, dim: int):
-    """The k nearest base rows of every query row of one tile."""
+def _nearest_in_block(k: int, exclude_self: bool):
+    """The k nearest base rows of every query row of one pair of blocks."""
 
     def nearest(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if q.empty or s.empty:
             return pd.DataFrame({"id": [], "neighbor": [], "d2": []})
         s = s.sort_values("id", ignore_index=True)  # position order is then key order
-        a, b = _matrix(q, dim), _matrix(s, dim)
-        qid, sid = q["id"].to_numpy(), s["id"].to_numpy()
-        rough = _square_distances(a, b)
-        at = pd.Index(sid).get_indexer(qid)
-        own = np.flatnonzero(at >= 0)
-        rough[own, at[own]] = np.inf
-        # Everything within rounding of the k-th distance is measured again exactly.
-        slack = 1e-9 * (1.0 + float((a * a).sum(1).max()) + float((b * b).sum(1).max()))
-        if len(sid) > k:
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
-            row, col = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+        columns = _columns(q, s)
+        if columns is None:
+            both = [*zip(q["idx"], q["val"]), *zip(s["idx"], s["val"])]
+            width = max(len(v) if i is None else 1 + max(i, default=-1) for i, v in both)
         else:
-            row, col = np.nonzero(np.isfinite(rough))
-        exact = ((b[col] - a[row]) ** 2).sum(1)
-        order = np.lexsort((col, exact, row))
-        row, col, exact = row[order], col[order], exact[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        best = place < k
-        return pd.DataFrame(
-            {"id": qid[row[best]], "neighbor": sid[col[best]], "d2": exact[best]}
-        )
+            width = len(columns)
+        rows = max(1, min(math.isqrt(TILE_CELLS), TILE_CELLS // max(1, width)))
+        found = []
+        for at in range(0, len(q), rows):
+            part = q.iloc[at : at + rows]
+            a, near = _matrix(part, columns, width), []
+            for begin in range(0, len(s), rows):
+                other = s.iloc[begin : begin + rows]
+                b = _matrix(other, columns, width)
+                near.append(_nearest(part["id"].to_numpy(), a, other["id"].to_numpy(), b, k, exclude_self))
+            near = pd.concat(near).sort_values(["id", "d2", "neighbor"], ignore_index=True)
+            found.append(near[near.groupby("id", sort=False).cumcount() < k])
+        out = pd.concat(found, ignore_index=True)
+        # Joined string columns would come in several pieces, which the transfer does not take.
+        texts = {c: object for c in ("id", "neighbor") if not pd.api.types.is_numeric_dtype(out[c])}
+        return out.astype(texts)
 
     return lambda key, q, s: nearest(q, s)
 
@@ -248,49 +167,33 @@ def knn_join(
     key: str = "id",
     vec: str = "features",
     within: str | None = None,
-    tile_rows: int | None = None,
+    exclude_self: bool = False,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``<key>, neighbor, d2, rank``: the k nearest base rows of every query row.
 
-    Squared Euclidean distance, ties by neighbour key. A base row with the query
-    row's key is not its neighbour. ``within`` restricts neighbours to the same value.
+    Squared Euclidean distance, ties by neighbour key. ``exclude_self`` is for a table joined to
+    itself: the base row with the query row's key is then not its neighbour. ``within`` restricts
+    neighbours to the same value. ``blocks`` sets the number of blocks per side.
     """
-    dim = vector_size(base, vec)
     id_type = base.schema[key].dataType
     schema = T.StructType(
         [
-            T.StructField("id", id_type),
+            T.StructField("id", queries.schema[key].dataType),
             T.StructField("neighbor", id_type),
             T.StructField("d2", T.DoubleType()),
         ]
     )
-    q = materialize(_rows(queries, key, vec, within), "knn-queries")
-    s = materialize(_first_copies(_rows(base, key, vec, within), k), "knn-base")
-    n_base = s.count()
-    tile = tile_rows or max(64, min(MAX_TILE_ROWS, TILE_CELLS // max(dim, 1)))
-    if n_base > 2 * tile:
-        parts = 1 if within is None else s.select("part").distinct().count()
-        pivots = _Pivots(_choose_pivots(s, n_base, tile, dim, parts * (k + 1)))
-        q = materialize(_assign(q, pivots, dim), "knn-query-cells")
-        s = materialize(_assign(s, pivots, dim), "knn-base-cells")
-        reach = _reach(q, s, pivots.matrix, k)
-        s = materialize(_route(s, pivots, reach, dim), "knn-routed")
-    else:
-        q, s = q.withColumn("cell", F.lit(0)), s.withColumn("cell", F.lit(0))
-
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
-        n = F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int")
-        return rows.groupBy("part", "cell").agg(n.alias(name))
-
-    sizes = materialize(
-        blocks(q, "qb").join(blocks(s, "sb"), ["part", "cell"]), "knn-blocks"
-    )
-    where = ["part", "cell", "qb", "sb"]
+    q = materialize(_rows(queries, key, vec, within).filter("val IS NOT NULL"), "knn-queries")
+    s = _first_copies(_rows(base, key, vec, within).filter("val IS NOT NULL"), k)
+    s = materialize(s, "knn-base")
+    n_q, n_s = (blocks, blocks) if blocks else (_n_blocks(q), _n_blocks(s))
+    where = ["part", "qb", "sb"]
     pairs = (
-        _tiles(q, sizes, "qb", "sb", tile)
+        _blocked(q, "qb", n_q, "sb", n_s)
         .groupBy(*where)
-        .cogroup(_tiles(s, sizes, "sb", "qb", tile).groupBy(*where))
-        .applyInPandas(_nearest_in_tile(k, dim), schema)
+        .cogroup(_blocked(s, "sb", n_s, "qb", n_q).groupBy(*where))
+        .applyInPandas(_nearest_in_block(k, exclude_self), schema)
     )
     order = Window.partitionBy("id").orderBy("d2", "neighbor")
     return (
@@ -318,9 +221,11 @@ def knn_classify(
     key: str = "id",
     vec: str = "features",
     label: str = "label",
+    exclude_self: bool = False,
 ) -> DataFrame:
     """``<key>, prediction, votes``: majority label, the smallest label wins a tie."""
-    votes = knn_votes(knn_join(queries, base, k, key=key, vec=vec), base, key, label)
+    near = knn_join(queries, base, k, key=key, vec=vec, exclude_self=exclude_self)
+    votes = knn_votes(near, base, key, label)
     best = F.min(F.struct((-F.col("votes")).alias("v"), F.col("label").alias("label")))
     return (
         votes.groupBy(key)

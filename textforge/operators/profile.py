@@ -10,12 +10,31 @@ from textforge.session import materialize
 
 
 def data_stats(df: DataFrame, text: str, label: str) -> DataFrame:
-    """Rows, missing text and label, distinct labels; one pass."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
+    """Rows, columns, missing text and label, distinct labels and each label's share; one pass."""
+    counts = df.groupBy(F.col(label).cast("string").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(text).isNull()).alias("no_text")
+    )
+    known = F.col("label").isNotNull()
+    shares = F.filter(F.col("each"), lambda e: e["label"].isNotNull())
+    named = F.transform(
+        F.array_sort(shares),
+        lambda e: F.concat(e["label"], F.lit(":"), F.round(e["n"] / F.col("known_rows"), 4)),
+    )
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.lit(len(df.columns)).cast("int").alias("total_columns"),
-        F.count_if(F.col(text).isNull()).alias("missing_text"),
-        F.count_if(F.col(label).isNull()).alias("missing_label"),
+        F.coalesce(F.sum("no_text"), F.lit(0)).alias("missing_text"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing_label"),
+        F.count_if(known).alias("unique_labels"),
+        F.sum(F.when(known, F.col("n"))).alias("known_rows"),
+        F.collect_list(F.struct("label", "n")).alias("each"),
+    ).select(
+        "total_rows",
+        "total_columns",
+        "missing_text",
+        "missing_label",
+        "unique_labels",
+        F.array_join(named, ",").alias("label_shares"),
     )
 
 
@@ -164,7 +183,8 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles (interpolated) and max, all exact.
 
     Values are counted, then cut into ranges; a value's rank is its range's start plus
-    a running count inside the range, so no task sees all distinct values.
+    a running count inside the range, so no task sees all distinct values. Mean and deviation
+    come from the column itself, whose aggregates merge without cancellation.
     """
     counted = (
         df.filter(F.col(column).isNotNull())
@@ -187,7 +207,7 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     def at(place: Column) -> Column:
         """The value at a 0-based place of the sorted column."""
         here = (place >= F.col("hi") - F.col("n")) & (place < F.col("hi"))
-        return F.max(F.when(here, F.col("x")))
+        return F.max(F.when(here, F.col("x").cast("double")))
 
     def quantile(q: float) -> Column:
         place = (F.col("total") - 1) * q
@@ -195,19 +215,28 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
         low, high = at(F.floor(place)), at(F.ceil(place))
         return F.round(low + (high - low) * share, 6)
 
-    n, total = F.sum("n"), F.sum(F.col("x") * F.col("n"))
-    squares = F.sum(F.col("x").cast("double") * F.col("x") * F.col("n"))
-    spread = F.greatest(squares - total.cast("double") * total / n, F.lit(0.0))
-    deviation = F.sqrt(spread / (n - 1))
+    here = F.struct(
+        F.count(column).alias("n"),
+        F.avg(F.col(column).cast("double")).alias("mean"),
+        F.stddev_samp(F.col(column).cast("double")).alias("std"),
+    )
     return ranked.agg(
-        F.coalesce(n, F.lit(0)).alias("count"),
-        F.round(total / n, 6).alias("mean"),
-        F.when(n > 1, F.round(deviation, 6)).alias("std"),
         F.min("x").cast("double").alias("min"),
         quantile(0.25).alias("p25"),
         quantile(0.5).alias("p50"),
         quantile(0.75).alias("p75"),
         F.max("x").cast("double").alias("max"),
+    ).select(
+        df.agg(here.alias("m")).scalar().alias("m"), "min", "p25", "p50", "p75", "max"
+    ).select(
+        F.col("m.n").alias("count"),
+        F.round("m.mean", 6).alias("mean"),
+        F.when(F.col("m.n") > 1, F.round("m.std", 6)).alias("std"),
+        "min",
+        "p25",
+        "p50",
+        "p75",
+        "max",
     )
 
 

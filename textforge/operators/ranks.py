@@ -114,3 +114,19 @@ def cuts_before(
         .withColumn(out, passed)
         .drop("_h", "_key", "_by", "_cuts")
     )
+
+
+def with_place(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Add the row's place (from 0) in the order of a column of distinct values.
+
+    Rows are cut into ranges; a place is the range's start plus the place inside it, so no task
+    sees all rows.
+    """
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    ranged = df.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    ranged = materialize(ranged.withColumn("_in", inside), "places")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(F.lit(1)).orderBy("_part")  # one row per range
+    starts = sizes.select("_part", (F.sum("_c").over(running) - F.col("_c")).alias("_start"))
+    placed = ranged.join(F.broadcast(starts), "_part")
+    return placed.withColumn(out, F.col("_start") + F.col("_in")).drop("_part", "_in", "_start")

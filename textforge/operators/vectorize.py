@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textforge.functions.stages import TermTokenizer
+from textforge.functions.stopwords import english_stop_words
 from textforge.functions.tokens import explode_terms, ngrams, term_tokens, with_term_counts
+from textforge.operators.ranks import with_place
 from textforge.session import materialize
 
-MAX_DRIVER_TERMS = 1_000_000
+#: A fitted vectorizer holds its terms on the driver and in every task: so many bytes at most.
+MAX_VOCABULARY_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -30,17 +33,25 @@ class VectorizerOptions:
     method: str = "tfidf"
     max_features: int | None = 5000
     ngram_range: tuple[int, int] = (1, 1)
-    stop_words: tuple[str, ...] = ()
+    stop_words: tuple[str, ...] | str | None = ()  # words, or "english" for Spark's list
 
     def __post_init__(self):
+        if isinstance(self.stop_words, str) and self.stop_words != "english":
+            raise ValueError(f"unknown stop-word list {self.stop_words!r}: use 'english' or words")
         if self.method not in ("tfidf", "count"):
             raise ValueError(f"unsupported method {self.method!r}: use 'tfidf' or 'count'")
         object.__setattr__(self, "ngram_range", tuple(self.ngram_range))
 
+    @property
+    def stop_list(self) -> tuple[str, ...]:
+        if self.stop_words == "english":
+            return english_stop_words()
+        return tuple(self.stop_words or ())
+
 
 def terms_of(df: DataFrame, text: str, opts: VectorizerOptions, out: str = "terms") -> DataFrame:
     """Add the row's term array (tokens, stop words out, n-grams)."""
-    words = term_tokens(F.col(text), opts.stop_words)
+    words = term_tokens(F.col(text), opts.stop_list)
     return (
         df.withColumn("_words", words)
         .withColumn(out, ngrams(F.col("_words"), *opts.ngram_range))
@@ -72,20 +83,7 @@ def vocabulary(stats: DataFrame, max_features: int | None = None) -> DataFrame:
         top = stats.orderBy(F.desc("cf"), "term").limit(max_features)
         place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("term")) - 1
         return top.select("term", place.alias("idx"), "cf", "df")
-    ranged = materialize(
-        stats.repartitionByRange("term")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn(
-            "_in", F.row_number().over(Window.partitionBy("_part").orderBy("term")) - 1
-        ),
-        "vocabulary",
-    )
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy(F.lit(1)).orderBy("_part")  # one row per partition
-    starts = sizes.select("_part", (F.sum("_c").over(running) - F.col("_c")).alias("_start"))
-    return ranged.join(F.broadcast(starts), "_part").select(
-        "term", (F.col("_start") + F.col("_in")).alias("idx"), "cf", "df"
-    )
+    return with_place(stats.select("term", "cf", "df"), "term", "idx").select("term", "idx", "cf", "df")
 
 
 def idf(n_docs, df):
@@ -112,13 +110,7 @@ class Vectorizer:
 
 def vector_stages(vocab_rows, n_docs: int, opts: VectorizerOptions, text: str, features: str):
     """The pipeline stages for a vocabulary in index order."""
-    tokenizer = TermTokenizer(
-        inputCol=text,
-        outputCol="_terms",
-        low=opts.ngram_range[0],
-        high=opts.ngram_range[1],
-        stopWords=list(opts.stop_words),
-    )
+    tokenizer = _tokenizer(opts, text)
     counted = features if opts.method == "count" else "_counts"
     counter = CountVectorizerModel.from_vocabulary(
         [row["term"] for row in vocab_rows], inputCol="_terms", outputCol=counted
@@ -139,12 +131,33 @@ def fit_vectorizer(
 ) -> Vectorizer:
     """Count terms, keep the vocabulary and wrap it as pipeline stages.
 
-    The model stages need the vocabulary on the driver; its size is
-    ``max_features``, and without a cap it is checked first.
+    The model stages need the vocabulary on the driver; its size is checked first, and
+    :func:`tfidf_table` takes any size. Rows are counted in the pass that tokenizes them.
     """
-    rows = df.withColumn("_key", F.lit(0))
-    stats = term_stats(document_terms(rows, "_key", text, opts))
-    return vectorizer_from_stats(stats, df.count(), opts, text, features)
+    return fit_transform(df, text, opts, features)[0]
+
+
+def fit_transform(
+    df: DataFrame, text: str, opts: VectorizerOptions, features: str = "features"
+) -> tuple[Vectorizer, DataFrame]:
+    """A fitted vectorizer and the rows it was fitted on, transformed; the text is tokenized once."""
+    tokenizer = _tokenizer(opts, text)
+    rows = materialize(tokenizer.transform(df), "terms")
+    counted = with_term_counts(rows.select("_terms"), "_terms")
+    terms = explode_terms(counted, "counts", name="c").select("c.term", "c.tf")
+    fitted = vectorizer_from_stats(term_stats(terms), rows.count(), opts, text, features)
+    weighing = PipelineModel(fitted.pipeline.stages[1:])
+    return fitted, weighing.transform(rows).drop("_terms", "_counts", "_weighted")
+
+
+def _tokenizer(opts: VectorizerOptions, text: str) -> TermTokenizer:
+    return TermTokenizer(
+        inputCol=text,
+        outputCol="_terms",
+        low=opts.ngram_range[0],
+        high=opts.ngram_range[1],
+        stopWords=list(opts.stop_list),
+    )
 
 
 def vectorizer_from_stats(
@@ -152,10 +165,9 @@ def vectorizer_from_stats(
 ) -> Vectorizer:
     """The same from a ready ``term, cf, df`` table."""
     vocab = materialize(vocabulary(stats, opts.max_features), "vocabulary")
-    if opts.max_features is None and vocab.count() > MAX_DRIVER_TERMS:
-        raise ValueError(
-            f"more than {MAX_DRIVER_TERMS} terms: set max_features or use tfidf_table"
-        )
+    size = vocab.agg(F.sum(F.octet_length("term") + 16)).first()[0] or 0
+    if size > MAX_VOCABULARY_BYTES:
+        raise ValueError(f"{size} bytes of terms: lower max_features or use tfidf_table")
     kept = vocab.orderBy("idx").collect()
     if not kept:
         raise ValueError("empty vocabulary: no text has a term")
@@ -176,7 +188,7 @@ def tfidf_table(df: DataFrame, key: str, text: str, opts: VectorizerOptions) ->
     A document's weights are normalised over its own rows, so the second shuffle is
     by document.
     """
-    doc_terms = document_terms(df, key, text, opts)
+    doc_terms = materialize(document_terms(df, key, text, opts), "document-terms")
     vocab = materialize(vocabulary(term_stats(doc_terms), opts.max_features), "vocabulary")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     raw = doc_terms.join(vocab, "term").withColumn(

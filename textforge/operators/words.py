@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def top_words_by_label(
     labels = materialize(df.select(F.col(label).alias("label")).distinct(), "labels")
     all_labels = labels.agg(F.collect_list(F.struct("label")).alias("labels")).scalar()
     grid = top.withColumn("labels", all_labels).select("word", "rank", F.inline_outer("labels"))
-    hits = counts.join(F.broadcast(top.select("word")), "word", "left_semi")
+    hits = counts.join(top.select("word"), "word", "left_semi")
     same = (F.col("g.word") == F.col("h.word")) & F.col("g.label").eqNullSafe(F.col("h.label"))
     return (
         grid.alias("g")
@@ -119,15 +120,49 @@ def lemma_table(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
+#: Changing words and their lemmas are sent to every task up to this size.
+LEMMA_BYTES = 64 << 20
+
+
 def lemmatize(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """``df`` with every token replaced by its lemma.
 
-    Only each row's distinct words meet the lemma table, and only the words that
-    change travel back, as one small map per row. The token lists stay whole.
+    The words that change are counted first. Up to ``LEMMA_BYTES`` they go to every task, which
+    looks whole token columns up at once: no row is shuffled. Beyond, each row's distinct words meet
+    the lemma table in a join, and only those that change travel back, as one small map per row.
     """
+    changes = materialize(lemmas.filter("word <> lemma").select("word", "lemma"), "changes")
+    size = changes.agg(F.sum(F.octet_length("word") + F.octet_length("lemma"))).first()[0] or 0
+    return _looked_up(df, tokens, changes) if size <= LEMMA_BYTES else _joined(df, key, tokens, changes)
+
+
+def _looked_up(df: DataFrame, tokens: str, changes: DataFrame) -> DataFrame:
+    pairs = changes.toArrow().combine_chunks()
+    known = df.sparkSession.sparkContext.broadcast(
+        (pairs.column("word").combine_chunks(), pairs.column("lemma").combine_chunks())
+    )
+    place = df.columns.index(tokens)
+
+    def look_up(batches):
+        words, new = known.value
+        for batch in batches:
+            lists = batch.column(place)
+            old = lists.flatten()
+            at = pc.index_in(old, value_set=words.cast(old.type))
+            changed = pc.coalesce(new.cast(old.type).take(at), old)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            out = pa.ListArray.from_arrays(ends, changed, mask=lists.is_null())
+            columns = [*batch.columns[:place], out, *batch.columns[place + 1 :]]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(look_up, df.schema)
+
+
+def _joined(df: DataFrame, key: str, tokens: str, changes: DataFrame) -> DataFrame:
     words = explode_terms(df, F.array_distinct(F.col(tokens)), key)
-    changes = (
-        words.join(lemmas.filter("word <> lemma"), "word")
+    changed = (
+        words.join(changes, "word")
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
@@ -135,7 +170,7 @@ def lemmatize(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFr
         F.col(tokens), lambda w: F.coalesce(F.try_element_at(F.col("_lemmas"), w), w)
     )
     return (
-        df.join(changes, key, "left")
+        df.join(changed, key, "left")
         .withColumn(tokens, F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(looked))
         .drop("_lemmas")
     )

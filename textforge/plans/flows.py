@@ -29,20 +29,28 @@ from textforge.operators.vectorize import (
     VectorizerOptions,
     Vectorizer,
     document_terms,
-    fit_vectorizer,
+    fit_transform,
     term_stats,
     vectorizer_from_stats,
 )
 from textforge.operators.words import lemma_table, lemmatize
-from textforge.session import materialize
+from textforge.session import materialize, scratch_scope
 from textforge.sources import sinks
 
 
 def processed_table(
-    df: DataFrame, key: str, text: str, label: str, opts: CleanOptions = FULL
+    df: DataFrame,
+    key: str,
+    text: str,
+    label: str,
+    opts: CleanOptions = FULL,
+    null_label: str | None = "nan",
 ) -> tuple[DataFrame, DataFrame]:
-    """``key, original_text, cleaned_text, original_label, encoded_label`` and the classes."""
-    coded, classes = encode_labels(df, label, "encoded_label")
+    """``key, original_text, cleaned_text, original_label, encoded_label`` and the classes.
+
+    A null label is the class ``null_label``; with None such rows are left out.
+    """
+    coded, classes = encode_labels(df, label, "encoded_label", null_label)
     cleaned = with_clean(coded, text, "cleaned_text", opts)
     out = cleaned.select(
         key,
@@ -103,22 +111,24 @@ def prepare(
     label: str,
     *,
     cleaning: CleanOptions = FULL,
-    vectorizer: VectorizerOptions = VectorizerOptions(ngram_range=(1, 2)),
+    vectorizer: VectorizerOptions = VectorizerOptions(ngram_range=(1, 2), stop_words="english"),
     test_size: float = 0.2,
     seed: int = 42,
     stratify: bool = False,
     fit_on: str = "train",
     keep_text: bool = False,
+    null_label: str | None = "nan",
 ) -> Prepared:
     """Clean, encode, split, fit the vectorizer and transform.
 
     The text is cleaned once and the cleaned table written; everything after reads
     it. ``fit_on="all"`` fits the vocabulary before the split, test rows included.
-    ``keep_text`` keeps the original text and label in ``cleaned``.
+    ``keep_text`` keeps the original text and label in ``cleaned``. A null label is the
+    class ``null_label``; with None such rows are left out.
     """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be 'train' or 'all'")
-    coded, classes = encode_labels(df.select(key, text, label), label)
+    coded, classes = encode_labels(df.select(key, text, label), label, null_label=null_label)
     names = class_names(classes)
     cleaner = TextCleaner.of(cleaning, inputCol=text, outputCol="cleaned")
     keyed = coded.select(key, text, F.col(label).alias("original_label"), "code")
@@ -137,11 +147,12 @@ def prepare(
         ),
         "cleaned",
     )
-    source = cleaned if fit_on == "all" else cleaned.filter(F.col("split") == "train")
-    fitted = fit_vectorizer(source, "cleaned", vectorizer)
-    features = materialize(
-        fitted.transform(cleaned).select("key", "label", "split", "features"), "features"
-    )
+    is_train = F.col("split") == "train"
+    source = cleaned if fit_on == "all" else cleaned.filter(is_train)
+    fitted, known = fit_transform(source, "cleaned", vectorizer)
+    if fit_on == "train":
+        known = known.unionByName(fitted.transform(cleaned.filter(~is_train)))
+    features = materialize(known.select("key", "label", "split", "features"), "features")
     return Prepared(features, cleaned, classes, fitted, cleaner, len(names))
 
 
@@ -160,10 +171,13 @@ def train_all(prepared: Prepared, specs: Iterable[ModelSpec] = DEFAULT_MODELS) -
     """
     specs = list(specs)
     by_name = {spec.name: spec for spec in specs}
-    models = {
-        spec.name: fit_model(prepared.train, spec, prepared.n_classes, others=by_name)
-        for spec in specs
-    }
+    models: dict[str, object] = {}
+    # Stacking last: it takes the models that are fitted by then as its bases.
+    for spec in sorted(specs, key=lambda s: s.kind == "stacking"):
+        models[spec.name] = fit_model(
+            prepared.train, spec, prepared.n_classes, others=by_name, fitted=models
+        )
+    models = {spec.name: models[spec.name] for spec in specs}
     predictions = materialize(predict_all(models, prepared.test), "predictions")
     scores = evaluate.compare_models(predictions, "actual", "predicted")
     return Trained(models, predictions, scores)
@@ -236,31 +250,44 @@ def run_training(
     """The whole training job; everything it learns ends up below ``out``.
 
     ``processed`` (texts and codes), ``features`` (by split), ``models/<name>`` (ready to
-    score raw text), ``reports`` (by model) and ``run_metrics`` (appended per run).
+    score raw text), ``reports`` (by model), ``run_metrics`` (appended per run), ``predictions``,
+    ``scores`` and ``best_model``. What it returns is read from there; its intermediate tables are deleted.
     """
     spark = df.sparkSession
-    prepared = prepare(df, key, text, label, keep_text=True, **preparation)
-    processed = prepared.cleaned.select(
-        "key",
-        "original_text",
-        F.col("cleaned").alias("cleaned_text"),
-        "original_label",
-        F.col("label").cast("int").alias("encoded_label"),
-    )
-    sinks.write_processed(processed, f"{out}/processed")
-    sinks.write_features(prepared.features, f"{out}/features")
-    trained = train_all(prepared, specs)
-    for name, model in trained.models.items():
-        TextClassifier.of(prepared, model).save(spark, f"{out}/models/{name}")
-    report = materialize(
-        evaluate.classification_report(trained.predictions, "actual", "predicted", "model"),
-        "reports",
+    specs = list(specs)
+    with scratch_scope(spark):
+        prepared = prepare(df, key, text, label, keep_text=True, **preparation)
+        processed = prepared.cleaned.select(
+            "key",
+            "original_text",
+            F.col("cleaned").alias("cleaned_text"),
+            "original_label",
+            F.col("label").cast("int").alias("encoded_label"),
+        )
+        sinks.write_processed(processed, f"{out}/processed")
+        sinks.write_features(prepared.features, f"{out}/features")
+        trained = train_all(prepared, specs)
+        for name, model in trained.models.items():
+            TextClassifier.of(prepared, model).save(spark, f"{out}/models/{name}")
+        report = materialize(
+            evaluate.classification_report(trained.predictions, "actual", "predicted", "model"),
+            "reports",
+        )
+        sinks.write_report(report, f"{out}/reports")
+        for name in trained.models:
+            metrics = sinks.report_metrics(report.filter(F.col("model") == name))
+            sinks.append_run_metrics(metrics, f"{out}/run_metrics", run, {"model": name})
+        for name, rows in (
+            ("predictions", trained.predictions),
+            ("scores", trained.scores),
+            ("best_model", evaluate.best_model(trained.scores)),
+        ):
+            rows.write.mode("overwrite").parquet(f"{out}/{name}")
+    return Trained(
+        {spec.name: load_model(spark, f"{out}/models/{spec.name}/model") for spec in specs},
+        spark.read.parquet(f"{out}/predictions"),
+        spark.read.parquet(f"{out}/scores").orderBy(F.desc("accuracy"), "model"),
     )
-    sinks.write_report(report, f"{out}/reports")
-    for name in trained.models:
-        metrics = sinks.report_metrics(report.filter(F.col("model") == name))
-        sinks.append_run_metrics(metrics, f"{out}/run_metrics", run, {"model": name})
-    return trained
 
 
 # The vectorizer sweep and its two forests.
@@ -321,15 +348,21 @@ def sweep_balancing(
     methods: Iterable[str] = ("none", "undersample", "smote", "adasyn", "smoteenn"),
     spec: ModelSpec = TFIDF_FOREST,
 ) -> DataFrame:
-    """One model per class-balancing method, judged on the untouched test rows."""
-    parts = []
+    """One model per class-balancing method, judged on the untouched test rows.
+
+    A method that leaves no rows has null scores.
+    """
+    parts, empty = [], []
     for method in methods:
         rows = materialize(balanced(prepared.train, method, "key", "features", "label"), "balanced")
         if rows.isEmpty():  # editing may leave nothing to learn from
+            empty.append((method,))
             continue
         model = fit_model(rows, spec, prepared.n_classes)
         parts.append(predict_all({method: model}, prepared.test))
-    return _compare(parts)
+    scores = _compare(parts)
+    unscored = scores.sparkSession.createDataFrame(empty, "model string")
+    return scores.unionByName(unscored, allowMissingColumns=True)
 
 
 def _compare(parts: list[DataFrame]) -> DataFrame:

@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
-from textforge.functions.patterns import (
-    EMOJI_RANGES,
-    PUNCTUATION_CHARS,
-    TAG,
-    URL_PROFILE,
-    WORD,
-)
-from textforge.functions.stopwords import KEPT_NEGATIONS, STOP_WORDS
-from textforge.operators.words import NOUN_ENDINGS
-from textforge.plans.queries import COVERAGE_CAPS, FLAG_RULES, VOCAB
-
+# Literals on purpose, not the package's own constants: a wrong constant there must not pass here.
+WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
+TAG = r"<[^>]+>"
 URL = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+|ftp://[^{SPACE}]+"
-EMOJI = "[" + "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in EMOJI_RANGES) + "]+"
+# Fixed values.
+URL_PROFILE = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(\\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
+EMOJI = (
+    r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}"
+    r"\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
+)
+PUNCTUATION_CHARS = ".!?;\"'()[]{}-"
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours he him his himself she her hers herself it its "
+    "itself they them their theirs themselves a an and if or because as until while of at by for with "
+    "without after upon but not to is are was were be been being have has had having do does did doing "
+    "will would shall should may might must the then than so too very just"
+).split()
+KEPT_NEGATIONS = "not no however but yet".split()
+# Spark's English list, without the words that hold an apostrophe: tokens never do.
+ENGLISH_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her "
+    "hers herself it its itself they them their theirs themselves what which who whom this that these "
+    "those am is are was were be been being have has had having do does did doing a an the and but if or "
+    "because as until while of at by for with about against between into through during before after "
+    "above below to from up down in out on off over under again further then once here there when where "
+    "why how all any both each few more most other some such no nor not only own same so than too very s "
+    "t can will just don should now cannot could ought would"
+).split()
+NOUN_ENDINGS = (
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
+    ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
+)
+FLAG_RULES = {
+    "m1": "CASE l_linenumber % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END",
+    "m2": "CASE WHEN l_linenumber <= 4 THEN l_returnflag ELSE 'N' END",
+    "m3": "CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag ELSE 'A' END",
+}
+COVERAGE_CAPS = (1000, 2000, 3000, 4000, 5000, 6000, 7000, 8000, 9000, 10000)
+MAX_TERMS = 5000
 
 
 def _q(text: str) -> str:
@@ -35,6 +61,7 @@ def _cut(text: str, pattern: str, new: str = "") -> str:
 
 
 STOP_LIST = _list(STOP_WORDS)
+ENGLISH_LIST = _list(ENGLISH_WORDS)
 KEPT_STOP_LIST = _list([w for w in STOP_WORDS if w not in KEPT_NEGATIONS])
 
 
@@ -72,9 +99,9 @@ def _drop_words(tokens: str, words: str) -> str:
     return f"list_filter({tokens}, lambda w: NOT list_contains({words}, w))"
 
 
-def _term_tokens(text: str, stop: bool = False) -> str:
+def _term_tokens(text: str, stop: bool | str = False) -> str:
     tokens = _matches(f"lower({text})", f"[{WORD}]{{2,}}")
-    return _drop_words(tokens, STOP_LIST) if stop else tokens
+    return _drop_words(tokens, STOP_LIST if stop is True else stop) if stop else tokens
 
 
 def _clean(text: str, full: bool = False, light: bool = False) -> str:
@@ -95,10 +122,17 @@ def _clean(text: str, full: bool = False, light: bool = False) -> str:
 DOCS = "SELECT d.doc_id, d.text, l.quality AS label FROM documents d LEFT JOIN labels l USING (doc_id)"
 LABELLED = "SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l USING (doc_id)"
 TURNS = "SELECT conv_id || '-' || turn AS key, text, role AS label FROM conversations"
-ALL_TEXTS = (
-    "SELECT 'd' || doc_id AS key, text FROM documents UNION ALL "
-    "SELECT 'p' || page_id AS key, html AS text FROM pages"
-)
+EMOJI_TEXTS = """
+    SELECT doc_id, mark || text || mark || ' end' AS text
+    FROM (SELECT *, ['😀', '🌍', '🚀', '🇩', '✂', 'Ⓜ', '中', '가', 'a'][doc_id % 9 + 1] AS mark FROM documents)
+"""
+LINKED_PAGES = """
+    SELECT page_id, html || CASE WHEN page_id % 2 = 0 THEN ' see ' || url || ' there' ELSE '' END AS html FROM pages
+"""
+ALL_TEXTS = f"""
+    SELECT 'd' || doc_id AS key, text FROM ({EMOJI_TEXTS}) UNION ALL
+    SELECT 'p' || page_id AS key, html AS text FROM ({LINKED_PAGES})
+"""
 WORDS = f"SELECT unnest({_ws_tokens('lower(text)')}) AS word FROM documents"
 WORD_COUNTS = f"SELECT word, count(*) AS n FROM ({WORDS}) GROUP BY word"
 SENTENCES = """
@@ -116,7 +150,7 @@ def _grams(tokens: str) -> str:
     )
 
 
-def _doc_terms(source: str, key: str, stop: bool) -> str:
+def _doc_terms(source: str, key: str, stop: bool | str) -> str:
     return f"""
         SELECT {key}, term, count(*) AS tf
         FROM (SELECT {key}, unnest({_grams('w')}) AS term
@@ -129,15 +163,21 @@ STATS = f"""
     SELECT term, sum(tf)::BIGINT AS cf, count(*) AS df
     FROM ({_doc_terms('SELECT doc_id, text FROM documents', 'doc_id', False)}) GROUP BY term
 """
-VOCAB_CTE = f"""
-    doc_terms AS ({_doc_terms('SELECT doc_id, text FROM documents', 'doc_id', True)}),
+
+
+def _vocab_cte(stop: bool | str = True) -> str:
+    return f"""
+    doc_terms AS ({_doc_terms('SELECT doc_id, text FROM documents', 'doc_id', stop)}),
     stats AS (SELECT term, sum(tf)::BIGINT AS cf, count(*) AS df FROM doc_terms GROUP BY term),
     vocab AS (
         SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, cf, df
-        FROM (SELECT * FROM stats ORDER BY cf DESC, term LIMIT {VOCAB.max_features})
+        FROM (SELECT * FROM stats ORDER BY cf DESC, term LIMIT {MAX_TERMS})
     ),
     n AS (SELECT count(*) AS n FROM documents)
-"""
+    """
+
+
+VOCAB_CTE = _vocab_cte()
 
 
 def _weighted(terms: str, key: str) -> str:
@@ -389,6 +429,25 @@ def _pages_text(expression: str) -> str:
     return f"SELECT page_id, {expression} AS text FROM pages"
 
 
+# Test rows of the turns, as ``split`` of ``key, label``.
+SPLIT_TURNS = f"""
+    WITH t AS ({TURNS}), classes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS code
+    FROM (SELECT DISTINCT label FROM t)),
+    rows AS (SELECT key, code AS label FROM t JOIN classes USING (label)), {_stratified('key')}
+"""
+PREDICTED = f"""
+    {SPLIT_TURNS} SELECT key, label::INT AS actual, true AS known_class, true AS all_classes,
+    true AS sums_to_one, true AS confident FROM split WHERE split = 'test'
+"""
+
+
+def _named(names, column: str) -> str:
+    return f"SELECT name AS model, true AS {column} FROM (SELECT unnest({_list(names)}) AS name)"
+
+
+SWEPT = [f"{m} 1-{n} 10000" for n in (1, 2, 3) for m in ("count", "tfidf")]
+SWEPT += [f"tfidf 1-3 {n}" for n in range(1000, 10000, 1000)]  # 10000 is among the ranges
+
 FIRST_ROWS = "SELECT min(doc_id) FROM documents GROUP BY text, lang"
 CLASSES = "SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM (SELECT DISTINCT label FROM t)"
 
@@ -415,7 +474,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, pos, length(text) AS n_chars FROM ({SENTENCES})
         WHERE starts_with(text, ' ') OR ends_with(text, ' ')
     """,
-    "url_rows": f"SELECT page_id FROM pages WHERE regexp_matches(html, {_q(URL_PROFILE)})",
+    "url_rows": f"SELECT page_id FROM ({LINKED_PAGES}) WHERE regexp_matches(html, {_q(URL_PROFILE)})",
     "newline_rows": "SELECT doc_id FROM documents WHERE contains(text, chr(10))",
     "empty_after_clean": f"""
         SELECT count(*) AS total, count(*) FILTER (cleaned = '') AS empty
@@ -468,7 +527,11 @@ ORACLES: dict[str, str] = {
     """,
     "data_stats": f"""
         SELECT count(*) AS total_rows, 3 AS total_columns, count(*) - count(text) AS missing_text,
-               count(*) - count(label) AS missing_label FROM ({DOCS})
+               count(*) - count(label) AS missing_label, count(DISTINCT label) AS unique_labels,
+               (SELECT string_agg(label || ':' || share, ',' ORDER BY label) FROM (
+                   SELECT label::VARCHAR AS label, round(count(*) / sum(count(*)) OVER (), 4) AS share
+                   FROM ({DOCS}) WHERE label IS NOT NULL GROUP BY label)) AS label_shares
+        FROM ({DOCS})
     """,
     "missing_by_column": _missing("doc_id text label"),
     "distinct_labels": f"SELECT DISTINCT label FROM ({DOCS})",
@@ -497,16 +560,22 @@ ORACLES: dict[str, str] = {
                round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75, max(x)::DOUBLE AS max
         FROM (SELECT len({_ws_tokens('text')})::DOUBLE AS x FROM documents)
     """,
+    "big_value_summary": """
+        SELECT count(*) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+               min(x) AS min, round(quantile_cont(x, 0.25), 6) AS p25,
+               round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75, max(x) AS max
+        FROM (SELECT (o_orderkey + 1000000000)::DOUBLE AS x FROM orders)
+    """,
     "length_hist_by_label": f"""
         SELECT label, (len({_ws_tokens('text')}) // 50) * 50 AS bin, count(*) AS n
         FROM ({LABELLED}) GROUP BY ALL
     """,
     "strip_tags": _pages_text(_cut("html", TAG)),
     "unescape_basic": _pages_text(_unescape("html")),
-    "strip_urls": _pages_text(_cut("html", URL)),
+    "strip_urls": f"SELECT page_id, {_cut('html', URL)} AS text FROM ({LINKED_PAGES})",
     "strip_punct": _docs_text(_no_punct("text")),
     "strip_digits": _docs_text(_no_digits("text")),
-    "strip_emoji": _docs_text(_cut("text", EMOJI)),
+    "strip_emoji": f"SELECT doc_id, {_cut('text', EMOJI)} AS text FROM ({EMOJI_TEXTS})",
     "clean_text_full": f"SELECT key, {_clean('text', full=True)} AS cleaned FROM ({ALL_TEXTS})",
     "clean_text_default": f"SELECT key, {_clean('text')} AS cleaned FROM ({ALL_TEXTS})",
     "clean_text_light": f"SELECT key, {_clean('text', light=True)} AS cleaned FROM ({ALL_TEXTS})",
@@ -534,7 +603,7 @@ ORACLES: dict[str, str] = {
     "vocab_stats": STATS,
     "vocab_topn": f"""
         SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, cf, df
-        FROM (SELECT * FROM ({STATS}) ORDER BY cf DESC, term LIMIT {VOCAB.max_features})
+        FROM (SELECT * FROM ({STATS}) ORDER BY cf DESC, term LIMIT {MAX_TERMS})
     """,
     "vocab_sweep": f"""
         WITH ranked AS (
@@ -549,6 +618,10 @@ ORACLES: dict[str, str] = {
     "tfidf": f"""
         WITH {VOCAB_CTE} SELECT doc_id, idx, round(weight, 6) AS weight FROM ({_weighted('doc_terms', 'doc_id')})
     """,
+    "tfidf_english": f"""
+        WITH {_vocab_cte(ENGLISH_LIST)} SELECT doc_id, idx, round(weight, 6) AS weight
+        FROM ({_weighted('doc_terms', 'doc_id')})
+    """,
     "tfidf_by_join": f"""
         WITH {VOCAB_CTE}
         SELECT doc_id, term, idx, tf, round(weight, 6) AS weight FROM ({_weighted('doc_terms', 'doc_id')})
@@ -609,6 +682,13 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, other AS prediction, votes FROM votes
         QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, other) = 1
     """,
+    "knn_foreign": f"""
+        WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+        SELECT vec_id, neighbor, rank, round(d2, 6) AS d2 FROM (
+            SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, neighbor) AS rank
+            FROM (SELECT a.vec_id + 7 AS vec_id, b.vec_id AS neighbor, {D2} AS d2 FROM e a CROSS JOIN e b)
+        ) WHERE rank <= 5
+    """,
     "smote": _synthetic(SMOTE_COPIES),
     "smoteenn": _synthetic(
         SMOTE_COPIES,
@@ -626,7 +706,7 @@ ORACLES: dict[str, str] = {
         vocab AS (
             SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df FROM (
                 SELECT term, sum(tf) AS cf, count(*) AS df FROM every_terms JOIN split USING (key)
-                WHERE split = 'train' GROUP BY term ORDER BY cf DESC, term LIMIT {VOCAB.max_features})
+                WHERE split = 'train' GROUP BY term ORDER BY cf DESC, term LIMIT {MAX_TERMS})
         ),
         n AS (SELECT count(*) AS n FROM split WHERE split = 'train')
         SELECT key, label::DOUBLE AS label, split, idx, round(weight, 6) AS value
@@ -652,4 +732,33 @@ ORACLES: dict[str, str] = {
         SELECT model, accuracy FROM s ORDER BY accuracy DESC, model LIMIT 1
     """,
     "stream_clean": f"SELECT doc_id, {_clean('text', full=True)} AS cleaned FROM documents",
+    "folder_roundtrip": "SELECT doc_id, md5(text) AS text_md5, lang FROM documents",
+    "features_roundtrip": f"{STRATIFIED} SELECT doc_id, label, split FROM split",
+    "report_roundtrip": f"{_metrics(FLAG_PAIRS, 'model')} {_report('model')}",
+    "model_roundtrip": f"SELECT key, label, true AS same FROM ({TURNS})",
+    "lr_predict": PREDICTED,
+    "rf_predict": PREDICTED,
+    "gbt_predict": PREDICTED,
+    "stack_variant": PREDICTED,
+    "stack_oof": f"""
+        {SPLIT_TURNS}, train AS (
+            SELECT key, label, {_hash_rank('key', 'label')} AS r, count(*) OVER (PARTITION BY label) AS n
+            FROM split WHERE split = 'train')
+        SELECT key, label::DOUBLE AS label, (r > n // 5)::INT + (r > n * 2 // 5)::INT + (r > n * 3 // 5)::INT
+               + (r > n * 4 // 5)::INT AS fold,
+               2 * (SELECT count(*) FROM classes)::INT AS n_shares, true AS sums_to_two
+        FROM train
+    """,
+    "train_all": _named(("logistic_regression", "random_forest", "boosted_trees", "stacking"), "learned"),
+    "eval_model": f"""
+        {SPLIT_TURNS} SELECT 'logistic_regression' AS model, count(*) AS test_samples, true AS agrees
+        FROM split WHERE split = 'test'
+    """,
+    "score_batch": f"SELECT key, label, true AS known FROM ({TURNS})",
+    "sweep": _named(SWEPT, "scored"),
+    "balance_sweep": _named(("none", "undersample", "smote", "adasyn", "smoteenn"), "scored"),
+    "stream_score": f"""
+        SELECT conv_id, turn, role, true AS same_as_batch FROM conversations
+        WHERE {_cut('text', f'[{SPACE}]+')} <> ''
+    """,
 }

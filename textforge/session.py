@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,23 +25,36 @@ def get_spark(app: str = "textforge", master: str | None = None, **conf) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder, because there the
-    driver and its tasks see the same disk.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="textforge-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediate tables written inside, once the block ends.
+
+    Only for flows that have written what they return elsewhere by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/textforge/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/textforge/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -11,13 +11,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer input splits than cores one partition per core or more.
+    """The rows dealt over twice as many partitions as there are cores.
 
-    Text work is heavy per byte, and a small file is one split. A large table has
-    splits enough and is left as it is.
+    Text work is heavy per byte and a Parquet file of one row group is one split, so the
+    registered queries deal their rows out anew. Operators never do.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def text_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

@@ -15,7 +15,7 @@ NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
 class DatasetError(ValueError):
@@ -42,14 +42,25 @@ def check_columns(df: DataFrame, *required: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path, *, encoding: str = "utf-8", schema=None, infer: bool = False, **options
+    spark: SparkSession,
+    path,
+    *,
+    encoding: str = "utf-8",
+    schema=None,
+    infer: bool = False,
+    multi_line: bool = True,
+    **options,
 ) -> DataFrame:
-    """CSV with header, quoted multi-line fields and null tokens.
+    """CSV with header, quoted fields and null tokens.
+
+    Fields may hold line breaks unless ``multi_line`` is off; a file is then read in several splits,
+    otherwise by one task. ``options`` go to the reader.
 
     Columns are strings unless ``schema`` or ``infer`` says otherwise; inference
     reads the data once more, after the null tokens are out.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("encoding", encoding).options(**options)
+    reader = spark.read.options(**CSV_OPTIONS).option("encoding", encoding)
+    reader = reader.option("multiLine", multi_line).options(**options)
     if schema is None:
         df = na_to_null(reader.csv(path))
         return _narrow_types(df) if infer else df
@@ -100,12 +111,19 @@ def load_labelled(
     encoding: str = "utf-8",
     schema=None,
     infer: bool = False,
+    multi_line: bool = True,
+    **options,
 ) -> DataFrame:
-    """A labelled CSV, checked: path, suffix, required columns, at least one row."""
+    """A labelled CSV, checked: path, suffix, required columns, at least one row.
+
+    The other arguments are those of :func:`read_csv`.
+    """
     if not path.rstrip("/").endswith(".csv"):
         raise DatasetError(f"unsupported file format: {path}")
     try:
-        df = read_csv(spark, path, encoding=encoding, schema=schema, infer=infer)
+        df = read_csv(
+            spark, path, encoding=encoding, schema=schema, infer=infer, multi_line=multi_line, **options
+        )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise DatasetError(f"data file not found: {path}") from error

@@ -48,3 +48,20 @@ def run_stream(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Drain what is there now and read the sink back."""
     write_stream(stream, path, checkpoint).awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def write_scored(
+    stream: DataFrame, model: TextClassifier, path: str, checkpoint: str, text: str = "text", available_now: bool = True
+) -> StreamingQuery:
+    """Score a stream micro-batch by micro-batch, with any model.
+
+    A model that joins its batch with stored rows (k-NN, and stacks that hold one) can't be part of a
+    stream's plan. Each micro-batch replaces its own folder, so a repeated one is written once.
+    """
+
+    def score(batch: DataFrame, number: int) -> None:
+        scored = model.score(batch.filter(~is_blank(F.col(text))))
+        scored.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
