@@ -38,6 +38,7 @@ from textforge.llm.words import row_slices, word_hashes
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20  # of text whose words make up shards together
 #: A match is followed so far; of a longer one this many words are reported. Windows are shorter.
 MAX_MATCH = 1 << 16
 _RANK_BITS = np.int64(21)  # three ranks fill one sort key
@@ -295,7 +296,7 @@ def find_contamination(
 
         def search(batches, block=block, again=number > 0):
             for batch in batches:
-                for begin, end in row_slices(batch.column(place)):
+                for begin, end in row_slices(batch.column(place), BATCH_BYTES):
                     part = batch.slice(begin, end - begin)
                     found = _batch_hits(part.column(place), block.value)
                     if again:

@@ -34,7 +34,7 @@ from textforge.session import materialize
 ORDER = 2
 ALPHA = 0.4
 MIN_COUNT = 2
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 PARTITION_NGRAMS = 1 << 21
 _ODD = mix(np.arange(1, 17, dtype=np.uint64)) | np.uint64(1)
 

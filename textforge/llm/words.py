@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that are scanned at once; a slice ends between words, so the cut changes nothing.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _BYTES = np.arange(256)
@@ -101,7 +101,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), places)
 
 
-def row_slices(texts: pa.Array, limit: int = SLICE_BYTES * 2) -> Iterator[tuple[int, int]]:
+def row_slices(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Runs of rows that hold about ``limit`` bytes of text; a longer text is a run of its own."""
     sizes = np.cumsum(np.diff(buffers(texts)[1]))
     begin, done = 0, 0
