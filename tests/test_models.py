@@ -197,7 +197,7 @@ def test_training_run_leaves_no_intermediate_tables(three, spark):
     assert {p.name for p in set(folder.iterdir()) - before} == {Path(out).name}
     assert trained.scores.count() == 3 and spark.read.parquet(f"{out}/best_model").count() == 1
     classifier = flows.TextClassifier.load(spark, f"{out}/models/stack")
-    assert classifier.score(df).count() == 90
+    assert classifier.score(df.withColumnRenamed("id", "key")).count() == 90
 
 
 def test_empty_resampling_keeps_its_row(three, monkeypatch):

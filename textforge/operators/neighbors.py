@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,12 +152,15 @@ def _nearest_in_block(k: int, exclude_self: bool):
                 near.append(_nearest(part["id"].to_numpy(), a, other["id"].to_numpy(), b, k, exclude_self))
             near = pd.concat(near).sort_values(["id", "d2", "neighbor"], ignore_index=True)
             found.append(near[near.groupby("id", sort=False).cumcount() < k])
-        out = pd.concat(found, ignore_index=True)
-        # Joined string columns would come in several pieces, which the transfer does not take.
-        texts = {c: object for c in ("id", "neighbor") if not pd.api.types.is_numeric_dtype(out[c])}
-        return out.astype(texts)
+        return pd.concat(found, ignore_index=True)
 
-    return lambda key, q, s: nearest(q, s)
+    def tables(q: pa.Table, s: pa.Table) -> pa.Table:
+        found = nearest(q.to_pandas(), s.to_pandas())
+        types = (q.schema.field("id").type, s.schema.field("id").type, pa.float64())
+        columns = [pa.array(found[c].tolist(), t) for c, t in zip(("id", "neighbor", "d2"), types)]
+        return pa.Table.from_arrays(columns, names=["id", "neighbor", "d2"])
+
+    return tables
 
 
 def knn_join(
@@ -193,7 +197,7 @@ def knn_join(
         _blocked(q, "qb", n_q, "sb", n_s)
         .groupBy(*where)
         .cogroup(_blocked(s, "sb", n_s, "qb", n_q).groupBy(*where))
-        .applyInPandas(_nearest_in_block(k, exclude_self), schema)
+        .applyInArrow(_nearest_in_block(k, exclude_self), schema)
     )
     order = Window.partitionBy("id").orderBy("d2", "neighbor")
     return (
