@@ -207,29 +207,37 @@ def _rare_pairs(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
         texts.mapInArrow(_exploded, "node long, component long, size long, element long"), "elements"
     )
     often = elements.groupBy("element").agg(F.count("*").alias("often"))
-    rare_first = Window.partitionBy("node").orderBy("often", "element")
-    prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    own = Window.partitionBy("node")
+    # Two multisets share their rarest elements if they overlap enough: for a larger partner a shorter
+    # prefix of the smaller one is enough. What a node shares with any other also bounds an overlap.
+    wide = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    narrow = F.col("size") - F.ceil(F.col("size") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
     rare = (
         elements.join(often, "element")
-        .withColumn("place", F.row_number().over(rare_first))
-        .where((F.col("place") <= prefix) & (F.col("often") > 1))
-        .select("element", "node", "component", "size")
+        .withColumn("place", F.row_number().over(own.orderBy("often", "element")))
+        .withColumn("common", F.count_if(F.col("often") > 1).over(own))
+        .where((F.col("place") <= wide) & (F.col("often") > 1))
+        .select("element", "node", "component", "size", "common", (F.col("place") <= narrow).alias("first"))
     )
     rare = materialize(rare, "rare")
     by_component = rare.groupBy("element", "component").agg(F.count("*").alias("n"))
     main = by_component.groupBy("element").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("components")
     )
-    light = (
-        rare.join(main.where("components > 1").select("element", "main"), "element")
-        .where("component <> main")
-        .select("element", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
+    light = rare.join(main.where("components > 1").select("element", "main"), "element").where("component <> main")
+    x, y = light.alias("x"), rare.alias("y")
+    least = (F.col("x.size") + F.col("y.size")) * (threshold / (1 + threshold)) - 1e-9
+    smaller_first = F.when(F.col("x.size") < F.col("y.size"), F.col("x.first"))
+    smaller_first = smaller_first.when(F.col("x.size") > F.col("y.size"), F.col("y.first"))
+    pairs = x.join(y, F.col("x.element") == F.col("y.element")).where(
+        (F.col("x.component") != F.col("y.component"))
+        & (F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * threshold - 1e-9)
+        & (F.least("x.common", "y.common") >= least)
+        & smaller_first.otherwise(F.col("x.first") & F.col("y.first"))
     )
-    pairs = light.join(rare, "element").where(
-        (F.col("cx") != F.col("component"))
-        & (F.least("sx", "size") >= F.greatest("sx", "size") * threshold - 1e-9)
-    )
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    return pairs.select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+    ).distinct()
 
 
 def near_duplicate_classes(
