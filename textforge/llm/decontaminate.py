@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textforge.llm.frames import fresh, table
+from textforge.llm.frames import fresh, table, tidy
 from textforge.llm.words import row_slices, word_hashes
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 16 << 20
-BATCH_BYTES = 8 << 20  # of text whose words make up shards together
+BATCH_BYTES = 2 << 20  # of text whose words make up shards together
 #: A match is followed so far; of a longer one this many words are reported. Windows are shorter.
 MAX_MATCH = 1 << 16
 _RANK_BITS = np.int64(21)  # three ranks fill one sort key
@@ -305,7 +305,7 @@ def find_contamination(
                     columns = [*part.columns[:old_place], pa.array(found, _ARROW)]
                     yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-        out = out.mapInArrow(search, schema)
+        out = out.mapInArrow(tidy(search), schema)
     return out
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +29,24 @@ BROADCAST_BYTES = 32 << 20
 def checked_broadcast(keys: DataFrame, row_bytes: int = 16) -> DataFrame:
     """A written table of keys, with a broadcast hint if a count shows that it is small."""
     return F.broadcast(keys) if keys.count() * row_bytes <= BROADCAST_BYTES else keys
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, for a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(function):
+    """A function over batches that leaves no freed memory behind in its worker."""
+
+    @functools.wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textforge.llm.frames import checked_broadcast, fresh, table
+from textforge.llm.frames import checked_broadcast, fresh, table, tidy
 from textforge.llm.graph import components
 from textforge.llm.words import mix, row_slices, word_hashes
 from textforge.session import materialize
@@ -113,6 +113,7 @@ def signatures(row, shingle, count, n_rows: int, registers: int) -> np.ndarray:
 
 
 def _sketch(bands: int, rows: int):
+    @tidy
     def sketch(batches):
         for batch in batches:
             for begin, end in row_slices(batch.column(1)):
@@ -144,6 +145,7 @@ def _sketch(bands: int, rows: int):
     return sketch
 
 
+@tidy
 def _overlaps(batches):
     for batch in batches:
         for begin, end in row_slices(batch.column(2)):
@@ -164,6 +166,7 @@ def _overlaps(batches):
                 )
 
 
+@tidy
 def _exploded(batches):
     """One row per shingle occurrence: the k-th occurrence of a shingle is an element of its own."""
     for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textforge.llm.frames import table
+from textforge.llm.frames import table, tidy
 from textforge.llm.words import buffers, row_slices
 from textforge.session import materialize
 
@@ -43,6 +43,7 @@ MAX_ROUNDS = 4
 #: A sequence with more than this share of room is open: its pieces take part in the next round.
 OPEN_ROOM = 1 / 64
 _MARK = "\x01"  # a character of its own between chunks that are encoded together
+_TAIL = b".,;:!?#$%&*|"
 
 
 class ChunkEncoder:
@@ -53,40 +54,56 @@ class ChunkEncoder:
     replaces the older one when it is full.
     """
 
-    KEPT = 400_000
-    by_path: dict[str, ChunkEncoder] = {}
+    KEPT = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.young, self.old = {b"": b""}, {}
-        self.mark = self.ids_of(_MARK)
-
-    @classmethod
-    def of(cls, path: str) -> ChunkEncoder:
-        if path not in cls.by_path:
-            cls.by_path[path] = cls(path)
-        return cls.by_path[path]
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(vocabulary.values()) + 1
+        self.ends_word, self.is_mark = np.zeros(size, bool), np.zeros(size, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.is_mark[self.ids_of(_MARK)] = True
 
     def ids_of(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        plain = [c for c in chunks if _MARK.encode() not in c]
-        for c in set(chunks) - set(plain):
-            self.young[c] = self.ids_of(c.decode()).tobytes()
-        for at in range(0, len(plain), 20_000):
-            some = plain[at : at + 20_000]
-            ids = self.ids_of(b" \x01 ".join(some).decode() + " " + _MARK)
-            ends = np.flatnonzero(ids == self.mark[0])
-            if len(self.mark) != 1 or len(ends) != len(some):  # the mark is not one token of its own here
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn_together(self, chunks: list[bytes], between: str, last: np.ndarray) -> None:
+        """Encodes many chunks as one text; ``last`` tells the ids that end one, with ``between``."""
+        mark = int(bool(between.strip()))  # the mark's own id is not the chunk's
+        for at in range(0, len(chunks), 20_000):
+            some = chunks[at : at + 20_000]
+            ids = self.ids_of("".join(c.decode() + between for c in some))
+            ends = np.flatnonzero(last[ids])
+            if len(ends) != len(some):  # not as expected of this tokenizer: one by one
                 self.young.update((c, self.ids_of(c.decode()).tobytes()) for c in some)
                 continue
-            data, places = ids.tobytes(), np.concatenate(([0], ends + 1)).tolist()
-            for c, lo, hi in zip(some, places, ends.tolist(), strict=False):
+            data, begins = ids.tobytes(), np.concatenate(([0], ends + 1)).tolist()
+            for c, lo, hi in zip(some, begins, (ends + 1 - mark).tolist(), strict=False):
                 self.young[c] = data[4 * lo : 4 * hi]
 
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Ids of new chunks. Letters alone are one word, whose last id is one that ends words; so are
+        letters before some ASCII marks, which are a word of their own."""
+        words, cut, rest = set(), [], []
+        for c in chunks:
+            word = c.rstrip(_TAIL)
+            if not word.decode().isalpha():
+                rest.append(c)
+                continue
+            words.add(word)
+            if len(word) < len(c):
+                cut.append((c, word, c[len(word) :]))
+        tails = {tail for _, _, tail in cut}.difference(self.young)
+        self.young.update((t, self.ids_of(t.decode()).tobytes()) for t in tails)
+        self._learn_together(list(words.difference(self.young)), " ", self.ends_word)
+        odd = [c for c in rest if _MARK.encode() in c or b"<|" in c]
+        self.young.update((c, self.ids_of(c.decode()).tobytes()) for c in odd)
+        self._learn_together(list(set(rest).difference(odd)), f" {_MARK} ", self.is_mark)
+        self.young.update((c, self.young[word] + self.young[tail]) for c, word, tail in cut)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         # The tokenizer lower-cases; doing so for A-Z here makes more chunks alike. Its special tokens are left.
@@ -119,10 +136,11 @@ def token_pieces(
     path = path or tokenizer_path()
     end = np.array([END_ID], "<u4").tobytes()
 
+    @tidy
     def pieces(batches):
-        encoder = ChunkEncoder.of(path)
+        encoder = ChunkEncoder(path)
         for batch in batches:
-            for begin, stop in row_slices(batch.column(1)):
+            for begin, stop in row_slices(batch.column(1), 4 << 20):
                 data, places = buffers(batch.column(1).slice(begin, stop - begin))
                 data, places = data.tobytes(), places.tolist()
                 texts = [data[a:b] for a, b in zip(places, places[1:], strict=False)]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textforge.llm.frames import checked_broadcast, fresh, table
+from textforge.llm.frames import checked_broadcast, fresh, table, tidy
 from textforge.llm.words import buffers, row_slices, word_hashes
 from textforge.session import materialize
 
@@ -152,6 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     sample = trusted.withColumn("trusted", F.lit(True)).union(unknown.withColumn("trusted", F.lit(False)))
     chosen = rows.join(checked_broadcast(materialize(sample, "sample")), "id").select("trusted", "text")
 
+    @tidy
     def measure(batches):
         for batch in batches:
             for begin, end in row_slices(batch.column(1)):
@@ -173,6 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 def add_score(docs: DataFrame, model: dict | None, score: str, text_col: str = "text") -> DataFrame:
     place = docs.columns.index(text_col)
 
+    @tidy
     def scored(batches):
         for batch in batches:
             for begin, end in row_slices(batch.column(place)):

@@ -64,13 +64,13 @@ def _record(kind: Column, record_id: Column, fields: dict[str, Column], body: Co
 
 
 def captures(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``key, id, url, payload, bytes, digest, refers_key, refers_id`` of every row; the last two for revisits.
+    """``key, id, url, payload, bytes, payload_digest, refers_key, refers_id`` of every row; the last two for revisits.
 
     A row's key is its id, its digest, and 0 but for repeated rows; those are written as a table to get
     numbers that stay the same.
     """
     sized = pages.select("id", "url", "payload", F.octet_length("payload").cast("long").alias("bytes"))
-    sized = sized.withColumn("digest", base32(F.sha1("payload")))
+    sized = sized.withColumn("digest", F.sha1("payload"))  # joins compare the hexadecimal form
     keys = materialize(sized.select("id", "digest"), "warc-keys")
     each = keys.groupBy("id", "digest").agg(F.count("*").alias("n"))
     groups = each.groupBy("digest").agg(F.max("id").alias("last"), F.sum("n").alias("size")).where("size > 1")
@@ -92,6 +92,7 @@ def captures(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     revisit = ~copied & (F.col("bytes") >= least_bytes)
     return rows.withColumns(
         {
+            "payload_digest": base32(F.col("digest")),
             "key": key(F.col("id"), F.col("nth")),
             "refers_key": F.when(revisit, key(F.coalesce("last", "id"), F.lit(0))),
             "refers_id": F.when(revisit, F.coalesce("last", "id")),
@@ -113,7 +114,7 @@ def records(found: DataFrame) -> DataFrame:
         name("response", key),
         to
         | {
-            "WARC-Payload-Digest": F.concat(F.lit("sha1:"), F.col("digest")),
+            "WARC-Payload-Digest": F.concat(F.lit("sha1:"), F.col("payload_digest")),
             "WARC-Profile": F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
             "WARC-Refers-To": F.concat(F.lit("<"), name("response", F.col("refers_key")), F.lit(">")),
             "Content-Type": F.lit("application/http; msgtype=response"),
