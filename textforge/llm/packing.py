@@ -54,7 +54,7 @@ class ChunkEncoder:
     replaces the older one when it is full.
     """
 
-    KEPT = 200_000
+    KEPT = 120_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -140,7 +140,7 @@ def token_pieces(
     def pieces(batches):
         encoder = ChunkEncoder(path)
         for batch in batches:
-            for begin, stop in row_slices(batch.column(1), 4 << 20):
+            for begin, stop in row_slices(batch.column(1)):
                 data, places = buffers(batch.column(1).slice(begin, stop - begin))
                 data, places = data.tobytes(), places.tolist()
                 texts = [data[a:b] for a, b in zip(places, places[1:], strict=False)]
