@@ -124,6 +124,18 @@ def test_lm_trigrams(spark):
     assert abs(scores[1] - want) < 1e-9
 
 
+def test_full_scores_keep_single_counts(spark, tmp_path):
+    from textforge.llm.queries import REGISTRY
+
+    docs = spark.createDataFrame([(1, "a b c a b d"), (2, "a b c"), (3, None)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: (r.n_words, r.n_backoff, r.score) for r in REGISTRY["op9_lm_scoring_full"](spark, str(tmp_path)).collect()}
+    # "c a", "b c a", "c a b" and "a b d" occur once each and count: c a b after c a is sure.
+    first = np.log(3 / 9) + np.log(3 / 3) + np.log(2 / 3) + np.log(1 / 2) + np.log(1 / 1) + np.log(1 / 3)
+    second = np.log(3 / 9) + np.log(3 / 3) + np.log(2 / 3)
+    assert rows == {1: (6, 0, round(first, 4)), 2: (3, 0, round(second, 4)), 3: (0, 0, 0.0)}
+
+
 URLS = [
     (1, None), (2, ""), (3, "no-scheme.org/es/"), (4, "http://EXAMPLE.org/es/x?y#z"), (5, "http://sub.example.org/en/12"),
     (6, "http://notexample.org/en/12"), (7, "http://org/"), (8, "http://a.org"), (9, "http://a.com/fr/://b.org/"),

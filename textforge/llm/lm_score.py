@@ -3,7 +3,8 @@
 The score of a word after its history is ``count(history + word) / count(history)`` if the n-gram is in
 the count tables, else ``alpha`` times the score after the history without its first word; the last
 resort is ``count(word) / N``. A document's score is the sum of the logarithms over its words.
-N-grams of two or more words are in the tables from ``min_count`` occurrences on.
+N-grams of two or more words are in the tables from ``min_count`` occurrences on. ``op9_lm_scoring`` is what its
+SQL says, bigrams from two occurrences on; ``op9_lm_scoring_full`` scores trigrams and keeps every count.
 
 Relational form. Documents are cut into chunks of some megabytes, written once as numbers of words.
 Each chunk explodes into its n-grams and counts them before anything shuffles; the counts go to tables
@@ -34,6 +35,7 @@ from textforge.session import materialize
 ORDER = 2
 ALPHA = 0.4
 MIN_COUNT = 2
+FULL_ORDER, FULL_MIN_COUNT = 3, 1
 CHUNK_BYTES = 4 << 20
 PARTITION_NGRAMS = 1 << 21
 _ODD = mix(np.arange(1, 17, dtype=np.uint64)) | np.uint64(1)
@@ -172,7 +174,7 @@ def _scored(order: int, alpha: float, min_count: int, n_words: int):
                 "id": chunk.column("ids")[0].values,
                 "n_words": pa.array(sizes),
                 "n_backoff": pa.array(np.bincount(document, backed > 0, len(sizes)).astype(np.int64)),
-                "score": pa.array(np.bincount(document, logs, len(sizes))),
+                "score": pa.array(np.bincount(document, logs, len(sizes)).astype(float)),  # whole numbers without words
             }
         )
 
@@ -207,11 +209,20 @@ def score_documents(
     )
 
 
-def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    scored = score_documents(table(spark, sf_dir, "documents"))
+def _result(scored: DataFrame) -> DataFrame:
     return scored.select(
         F.col("id").alias("doc_id"),
         "n_words",
         "n_backoff",
         F.round("score", 4).alias("score"),
     )
+
+
+def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    return _result(score_documents(table(spark, sf_dir, "documents")))
+
+
+def op9_lm_scoring_full(spark, sf_dir: str) -> DataFrame:
+    """Trigrams, no n-gram's count left out."""
+    docs = table(spark, sf_dir, "documents")
+    return _result(score_documents(docs, order=FULL_ORDER, min_count=FULL_MIN_COUNT))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from textforge.llm.decontaminate import op10_decontamination
 from textforge.llm.exact_dedup import op7_exact_dedup
-from textforge.llm.lm_score import op9_lm_scoring
+from textforge.llm.lm_score import op9_lm_scoring, op9_lm_scoring_full
 from textforge.llm.near_dedup import op3_near_dedup
 from textforge.llm.packing import op4_best_fit_packing
 from textforge.llm.pii import op2_pii
@@ -23,6 +23,7 @@ REGISTRY = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_secrets": op8_secrets,
     "op9_lm_scoring": op9_lm_scoring,
+    "op9_lm_scoring_full": op9_lm_scoring_full,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -161,6 +162,22 @@ s AS (SELECT r, history IS NOT NULL AND two.n IS NULL AS backed, CASE
   LEFT JOIN one AS before ON before.word = t.history)
 SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(*) FILTER (WHERE backed) AS n_backoff,
   round(coalesce(sum(score), 0), 4) AS score
+FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id""",
+    # Every n-gram of a document is in the counts, so no word backs off.
+    "op9_lm_scoring_full": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT r, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS c
+  FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+one AS (SELECT a, count(*) AS n FROM t GROUP BY ALL),
+two AS (SELECT b, a, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY ALL),
+three AS (SELECT c, b, a, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY ALL),
+s AS (SELECT r, CASE WHEN t.c IS NOT NULL THEN ln(three.n / pair.n) WHEN t.b IS NOT NULL THEN ln(two.n / word.n)
+    ELSE ln(one.n / (SELECT count(*) FROM t)) END AS score
+  FROM t JOIN one ON one.a = t.a LEFT JOIN one AS word ON word.a = t.b LEFT JOIN two ON (two.b, two.a) = (t.b, t.a)
+  LEFT JOIN two AS pair ON (pair.b, pair.a) = (t.c, t.b)
+  LEFT JOIN three ON (three.c, three.b, three.a) = (t.c, t.b, t.a))
+SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, CAST(0 AS BIGINT) AS n_backoff,
+  round(coalesce(sum(score), 0), 4) AS score
 FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id""",
     "op10_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
