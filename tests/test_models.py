@@ -120,6 +120,21 @@ def test_stack_variant(three):
     assert E.summary(scored, "label", "prediction").first().accuracy > 0.5
 
 
+def test_stack_variant_query_fits_the_whole_recipe(spark, monkeypatch):
+    from textforge.plans.queries import REGISTRY
+
+    asked = []
+
+    def fit(train, spec, n_classes, **options):
+        asked.append(spec)
+        return M.fit_model(train, LOGISTIC, n_classes)
+
+    monkeypatch.setattr(flows, "fit_model", fit)
+    assert REGISTRY["stack_variant"](spark, "/root/testdata/sf0.001").count() > 0
+    assert asked == [flows.STACK_VARIANT]
+    assert flows.STACK_VARIANT.params["base_models"][0].params["n_estimators"] == 367
+
+
 def test_sweeps(three, spark):
     df, prepared = three
     cleaned = prepared.cleaned

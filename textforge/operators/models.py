@@ -7,6 +7,7 @@ Every fitted model has ``score(df)``, which adds ``prediction`` (double) and
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
@@ -28,6 +29,8 @@ from textforge.operators.split import kfold, with_class_weight
 from textforge.session import materialize
 
 SEED = 42
+#: Folds whose models are fitted at the same time.
+FOLDS_AT_ONCE = 5
 MAX_DEPTH = 30  # the deepest tree that Spark grows
 
 
@@ -295,15 +298,18 @@ def out_of_fold(
 ) -> DataFrame:
     """``key, label, fold, features``: probabilities from models that never saw the row.
 
-    One fit per base and fold, each a Spark job over the other folds.
+    One fit per base and fold, each a Spark job over the other folds; the folds run side by side.
     """
     folded = materialize(kfold(train, key, "label", cv, seed), "stack-folds")
-    parts = []
-    for fold in range(cv):
+
+    def held_out(fold: int) -> DataFrame:
         rest = folded.filter(F.col("fold") != fold)
         models = [fit_model(rest, b, n_classes, key=key, seed=seed) for b in bases]
         held = stack_features(folded.filter(F.col("fold") == fold), models, n_classes)
-        parts.append(held.select(key, "label", "fold", F.col("_stacked").alias("features")))
+        return held.select(key, "label", "fold", F.col("_stacked").alias("features"))
+
+    with ThreadPoolExecutor(min(cv, FOLDS_AT_ONCE)) as pool:
+        parts = list(pool.map(held_out, range(cv)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from textforge.operators import resample as R
 from textforge.operators import split as S
 from textforge.operators import vectorize as V
 from textforge.operators import words as W
-from textforge.operators.models import DEFAULT_MODELS, ModelSpec, fit_model, out_of_fold
+from textforge.operators.models import DEFAULT_MODELS, fit_model, out_of_fold
 from textforge.plans import flows
 from textforge.session import materialize, scratch_path
 from textforge.sources import sinks, text_files
@@ -686,19 +684,6 @@ def best_model(spark, folder):
 
 LOGISTIC, FOREST, BOOSTED, STACK = DEFAULT_MODELS
 
-# The second stacking recipe with fewer boosting rounds: 367 rounds of depth 20 for three classes and
-# six fits are 6,606 trees, one after another, of about a second each whatever the input.
-VARIANT_ROUNDS = 4
-
-
-def _variant(rounds: int) -> ModelSpec:
-    boosted, *others = flows.STACK_VARIANT.params["base_models"]
-    boosted = replace(boosted, params={**boosted.params, "n_estimators": rounds})
-    return replace(flows.STACK_VARIANT, params={**flows.STACK_VARIANT.params, "base_models": (boosted, *others)})
-
-
-VARIANT = _variant(VARIANT_ROUNDS)
-
 
 def _prepared(spark: SparkSession, folder: str) -> flows.Prepared:
     """Features of the conversation turns (three classes)."""
@@ -759,7 +744,7 @@ def stack_oof(spark, folder):
 @query("stack_variant")
 def stack_variant(spark, folder):
     prepared = _prepared(spark, folder)
-    model = flows.train_stack_variant(prepared, VARIANT)
+    model = flows.train_stack_variant(prepared)
     return _judged(model.score(prepared.test), prepared.n_classes, "key")
 
 
