@@ -1,5 +1,8 @@
 """Personal data and secrets against plain Python."""
 
+import random
+import string
+
 from tests.llm import brute
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +70,17 @@ def test_best_entropy(spark):
         windows = [r.v[i : i + 20] for i in range(len(r.v) - 19)]
         hexes = [brute.entropy(w) for w in windows if set(w) <= set("0123456789abcdefABCDEF")]
         assert (r.e is None) == (not hexes) and (not hexes or abs(r.e - max(hexes)) < 1e-8)
+
+
+def test_random_strings_of_each_class(spark):
+    draw = random.Random(3)
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = {"base32": upper + "234567", "base36": lower + digits, "base36 upper": upper + digits, "base62": lower + upper + digits}
+    rows = [(kind, size, "".join(draw.choices(a, k=size))) for kind, a in alphabets.items() for size in (20, 32) for _ in range(300)]
+    rows = [r for r in rows if not r[2].isalpha()]  # the allow-list takes what has no digit
+    df = spark.createDataFrame(rows, "kind string, size int, v string")
+    found = df.groupBy("kind", "size").agg(F.avg(secrets.random_looking(F.col("v")).cast("int")).alias("share")).collect()
+    assert len(found) == 8 and all(r.share > 0.96 for r in found), found
+    names = ["my-long-report-name-2024-12-01", "path/to/some/file/2024/page/12", "GB82WEST12345698765432", "aaaaaaaaaaaaaaaaaaaa1"]
+    df = spark.createDataFrame([(v,) for v in names], "v string")
+    assert [r.found for r in df.select("v", secrets.random_looking(F.col("v")).alias("found")).collect()] == [False] * 4
