@@ -84,3 +84,12 @@ def test_random_strings_of_each_class(spark):
     names = ["my-long-report-name-2024-12-01", "path/to/some/file/2024/page/12", "GB82WEST12345698765432", "aaaaaaaaaaaaaaaaaaaa1"]
     df = spark.createDataFrame([(v,) for v in names], "v string")
     assert [r.found for r in df.select("v", secrets.random_looking(F.col("v")).alias("found")).collect()] == [False] * 4
+
+
+def test_iban_ends_where_its_country_says(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [f"{de} BIC COBADEFFXXX", "DE89370400440532013000 2024-01-01", f"{gb} EUR 50", f"{de} {gb} AND 12", f"EU22 {de}", f"x{gb}", f"{gb}1"]
+    want = [[de], ["DE89370400440532013000"], [gb], [de, gb], [de], [], []]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.add_pii(df, "result").orderBy("doc_id").collect()
+    assert [[r.text[s.start : s.stop] for s in r.result if s.kind == "iban"] for r in rows] == want

@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 Kinds of the base: email, ip (parts at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits).
-Kinds that the method adds: iban (mod-97), ssn (only with a context word). A span's score starts at
+Kinds that the method adds: iban (of the country's
+length, mod-97; what follows it doesn't matter), ssn (only with a context word). A span's score starts at
 the trust in its pattern, rises with a checksum and with a context word among the ``CONTEXT_CHARS``
 characters before it; added kinds must reach ``MIN_SCORE``, base kinds always stay.
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.llm.frames import fresh, table
-from textforge.llm.spans import joined, matches, number_of
+from textforge.llm.spans import SPAN, joined, matches, number_of
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: Within a run of local characters only its begin (or the end of the last match) can begin a match.
@@ -27,7 +28,18 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])"
+_IBAN_END = r"(?![A-Za-z0-9_])"
+_IBAN_RUN = rf"(?:\x20?[A-Z0-9]){{11,30}}{_IBAN_END}"
+#: Where an account number may begin; what follows it is looked at, not taken.
+IBAN = rf"(?<![A-Za-z0-9_])[A-Z]{{2}}[0-9]{{2}}(?={_IBAN_RUN})"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Letters and digits of the longest account number, a space before each, and the character after it.
+IBAN_CHARS = 4 + 2 * 30 + 1
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 BASE = ("email", "ip", "card", "phone")
@@ -82,6 +94,25 @@ def mod97(value: Column) -> Column:
     return F.aggregate(F.split(moved, ""), F.lit(0), add) == 1
 
 
+def _ibans(text: Column, heads: Column) -> Column:
+    """Account numbers at the heads: of the country's length, else the longest run, if mod-97 holds; none overlap."""
+    kinds = "|".join(
+        rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}{_IBAN_END}" for n, names in IBAN_LENGTHS.items()
+    )
+
+    def step(done: Column, head: Column) -> Column:
+        piece = F.substring(text, (head["start"] + 1).cast("int"), F.lit(IBAN_CHARS))
+        own = F.regexp_extract(piece, f"^(?:{kinds})", 0)
+        run = F.regexp_extract(piece, f"^[A-Z]{{2}}[0-9]{{2}}{_IBAN_RUN}", 0)
+        value = F.when(mod97(own), own).when(mod97(run), run).otherwise(F.lit(""))
+        span = F.struct(head["start"].alias("start"), (head["start"] + F.length(value)).alias("stop"), value.alias("value"))
+        free = F.element_at(done, -1)["stop"] <= head["start"]
+        good = (value != "") & ((F.size(done) == 0) | free)
+        return F.when(good, F.concat(done, F.array(span).cast(SPAN))).otherwise(done)
+
+    return F.aggregate(heads, F.array().cast(SPAN), step)
+
+
 def _ip_holds(value: Column) -> Column:
     parts = F.transform(F.split(value, r"\."), lambda p: F.regexp_replace(p, "^0+", ""))
     return F.forall(parts, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255")))
@@ -103,7 +134,7 @@ def find_spans(text: Column) -> dict[str, Column]:
         "ip": matches(text, IP, text.rlike(r"[0-9]\.[0-9]++\.[0-9]"), _ip_holds),
         "card": matches(text, CARD, text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"), _card_holds),
         "phone": matches(text, PHONE, F.contains(text, F.lit("+")), _phone_holds),
-        "iban": matches(text, IBAN, text.rlike("[A-Z]{2}[0-9]{2}"), mod97),
+        "iban": _ibans(text, matches(text, IBAN, text.rlike("[A-Z]{2}[0-9]{2}"))),
         "ssn": matches(text, SSN, text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}")),
     }
 
