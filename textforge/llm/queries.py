@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from textforge.llm.cluster import op11_centroid_clustering
 from textforge.llm.decontaminate import op10_decontamination
 from textforge.llm.exact_dedup import op7_exact_dedup
 from textforge.llm.lm_score import op9_lm_scoring, op9_lm_scoring_full
@@ -25,6 +26,7 @@ REGISTRY = {
     "op9_lm_scoring": op9_lm_scoring,
     "op9_lm_scoring_full": op9_lm_scoring_full,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 _WORDS = (
@@ -111,7 +113,34 @@ _SECRETS = [
     ),
 ]
 
+
+def _kmeans(k: int = 8, rounds: int = 10) -> str:
+    """Every round as two named queries: the nearest centroid of each row, then the floored means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (SELECT r, arg_min(c.n, s.d * {k} + c.n) AS n, min(s.d) AS d
+  FROM v CROSS JOIN c{i} AS c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d) AS s
+  GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT n, j, sum(x[j]) AS s, count(*) AS m FROM a{i} JOIN v USING (r), unnest(range(1, 65)) AS t(j) GROUP BY n, j),
+c{i + 1} AS MATERIALIZED (SELECT c.n, coalesce(new.x, c.x) AS x FROM c{i} AS c LEFT JOIN (
+  SELECT n, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY j) AS x FROM m{i} GROUP BY n) AS new USING (n))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS n, x FROM (
+  SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {k})),{",".join(steps)}
+SELECT vec_id, CAST(n AS INT) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} AS c USING (n)"""
+
+
 ORACLES = {
+    "op11_centroid_clustering": _kmeans(),
     "op2_pii": _span_sql(_PII, 4, ("email", "ip", "card", "phone"), "s.rank, s.start"),
     "op8_secrets": _span_sql(_SECRETS, 3, ("assign", "access", "hex"), "s.start, s.rank"),
     "op1_url_filter": """
