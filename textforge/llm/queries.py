@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from textforge.llm.align import op12_tokenizer_alignment
 from textforge.llm.cluster import op11_centroid_clustering
 from textforge.llm.decontaminate import op10_decontamination
 from textforge.llm.exact_dedup import op7_exact_dedup
+from textforge.llm.licenses import license_sql, op13_license_scan
 from textforge.llm.lm_score import op9_lm_scoring, op9_lm_scoring_full
 from textforge.llm.near_dedup import op3_near_dedup
 from textforge.llm.packing import op4_best_fit_packing
@@ -27,6 +29,8 @@ REGISTRY = {
     "op9_lm_scoring_full": op9_lm_scoring_full,
     "op10_decontamination": op10_decontamination,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_license_scan": op13_license_scan,
 }
 
 _WORDS = (
@@ -141,6 +145,7 @@ FROM a{rounds} JOIN v USING (r) JOIN c{rounds} AS c USING (n)"""
 
 ORACLES = {
     "op11_centroid_clustering": _kmeans(),
+    "op13_license_scan": license_sql(),
     "op2_pii": _span_sql(_PII, 4, ("email", "ip", "card", "phone"), "s.rank, s.start"),
     "op8_secrets": _span_sql(_SECRETS, 3, ("assign", "access", "hex"), "s.start, s.rank"),
     "op1_url_filter": """
