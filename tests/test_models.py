@@ -179,13 +179,6 @@ def test_stream_equals_batch(three, spark, tmp_path):
     assert ("I love this, great!", "good") in want
 
 
-def test_deep_trees_are_refused(three):
-    _, prepared = three
-    for kind in ("random_forest", "boosted_trees"):
-        with pytest.raises(ValueError, match="max_depth 50"):
-            M.fit_model(prepared.train, M.ModelSpec("deep", kind, {"max_depth": 50}), 3)
-
-
 def test_null_labels_are_a_class(spark):
     rows = [(f"k{i}", f"word{i % 7} text", None if i % 3 == 0 else "ab"[i % 2]) for i in range(30)]
     df = spark.createDataFrame(rows, "id string, text string, label string")

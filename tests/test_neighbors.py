@@ -42,13 +42,15 @@ def _frame(spark, points, labels, sparse=False):
 
 
 @pytest.mark.parametrize("within", [None, "label"])
-@pytest.mark.parametrize("blocks, cells", [(None, 1 << 22), (7, 1 << 22), (4, 100)])
-def test_exact_neighbors_with_a_hot_copy(spark, within, blocks, cells, monkeypatch):
-    monkeypatch.setattr(N, "TILE_CELLS", cells)
+@pytest.mark.parametrize("cells, tile", [(None, 1 << 22), (7, 1 << 22), (20, 100)])
+@pytest.mark.parametrize("sparse", [False, True])
+def test_exact_neighbors_with_a_hot_copy(spark, within, cells, tile, sparse, monkeypatch):
+    monkeypatch.setattr(N, "TILE_CELLS", tile)
+    monkeypatch.setattr(N, "QUERY_ROWS", 64)
     points = _cloud(400, 5, 1)
     labels = np.arange(400) % 3
-    df = _frame(spark, points, labels)
-    near = N.knn_join(df, df, 4, within=within, exclude_self=True, blocks=blocks)
+    df = _frame(spark, points, labels, sparse)
+    near = N.knn_join(df, df, 4, within=within, exclude_self=True, cells=cells)
     got = {}
     for r in near.orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.neighbor)
@@ -62,11 +64,63 @@ def test_copies_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_both_sides_are_always_cut(spark):
-    rows = N._rows(_frame(spark, _cloud(300, 5, 2), np.zeros(300)), "id", "features", None)
-    assert N._n_blocks(rows) == 4
-    pairs = N._blocked(rows, "qb", 4, "sb", 4).groupBy("qb", "sb").count().collect()
-    assert len(pairs) == 16 and max(r["count"] for r in pairs) < 150
+def test_far_cells_are_closed(spark):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(20, 8)) * 30
+    points = centers[np.arange(2000) % 20] + rng.normal(size=(2000, 8))
+    df = _frame(spark, points, np.zeros(2000))
+    index = N.build_index(df, 3, cells=40)
+    near = index.search(df, exclude_self=True)
+    got = {r.id: r.neighbor for r in near.filter("rank = 1").collect()}
+    d = ((points[:, None] - points[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    assert got == dict(enumerate(d.argmin(1).tolist()))
+    assert index.visits < 2000 * 6 and index.pairs.value < 0.15 * 2000 * 2000
+    again = index.search(df.filter("id < 50"), 1, exclude_self=True)  # built once, searched twice
+    assert {r.id: r.neighbor for r in again.collect()} == {i: got[i] for i in range(50)}
+    with pytest.raises(ValueError):
+        index.search(df, 4)
+
+
+def _texts(n, seed):
+    """Weighted words of a Zipf vocabulary, by language; unit length, some rows empty."""
+    rng = np.random.default_rng(seed)
+    share = 1 / np.arange(1, 301)
+    rows = []
+    for i in range(n):
+        words = np.unique(rng.choice(300, rng.integers(0, 60), p=share / share.sum())) + 300 * (i % 3)
+        w = rng.random(len(words)) * np.log1p(words % 300)
+        rows.append((i, Vectors.sparse(900, dict(zip(words.tolist(), (w / (np.linalg.norm(w) or 1)).tolist()))), 0))
+    return rows
+
+
+@pytest.mark.parametrize("sign", [1.0, -1.0])
+def test_sparse_rows_by_postings(spark, sign):
+    rows = _texts(600, 9)
+    if sign < 0:  # weights of either sign, and of any length
+        rows = [(i, Vectors.sparse(900, v.indices, v.values * (1 + i % 4) * np.where(v.indices % 2, 1, -1)), c) for i, v, c in rows]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("features", VectorUDT()), T.StructField("label", T.IntegerType())])
+    df = spark.createDataFrame(rows, schema)
+    index = N.build_index(df, 5, cells=9)
+    got = {}
+    for r in index.search(df, exclude_self=True).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(round(r.d2, 9))
+    points = np.array([v.toArray() for _, v, _ in rows])
+    d = ((points[:, None] - points[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    empty = [i for i, v, _ in rows if not len(v.indices)]
+    want = np.sort(d, axis=1)[:, :5].round(9)
+    assert len(got) == 600 and len(empty) > 5
+    for i in range(600):
+        assert got[i] == pytest.approx(want[i].tolist(), abs=2e-9), i
+    assert index.pairs.value < 0.25 * 600 * 600
+
+
+def test_empty_sides(spark):
+    df = _frame(spark, np.array([[0.0], [1.0]]), [0, 0])
+    assert N.knn_join(df.limit(0), df, 2).count() == 0 and N.knn_join(df, df.limit(0), 2).count() == 0
+    nothing = df.withColumn("features", F.lit(None).cast("array<double>"))
+    assert N.knn_join(nothing, df, 2).count() == 0 and N.knn_join(df, nothing, 2).count() == 0
 
 
 def test_keys_of_another_table_are_not_excluded(spark):

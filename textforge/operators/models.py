@@ -1,6 +1,7 @@
 """Classifiers: logistic regression, forest, boosted trees, k-NN and stacking.
 
-Every fitted model has ``score(df)``, which adds ``prediction`` (double) and
+Forests and boosted trees are grown by ``trees``, any number of models together (``fit_many``); logistic
+regressions are fitted side by side. Every fitted model has ``score(df)``, which adds ``prediction`` (double) and
 ``probability`` (array of K doubles) to the rows, and can be saved and loaded.
 """
 
@@ -10,28 +11,21 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textforge.operators.neighbors import first_rows, knn_join, knn_votes
+from textforge.operators.neighbors import build_index, first_rows, knn_votes
 from textforge.operators.split import kfold, with_class_weight
+from textforge.operators.trees import Job, Rule, TreeModel, fit_trees
 from textforge.session import materialize
 
 SEED = 42
-#: Folds whose models are fitted at the same time.
-FOLDS_AT_ONCE = 5
-MAX_DEPTH = 30  # the deepest tree that Spark grows
+#: Models that are fitted at the same time, each by its own jobs.
+FITS_AT_ONCE = 6
+#: Stored numbers of a partition that logistic regression goes over again and again.
+FIT_NUMBERS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -71,14 +65,6 @@ DEFAULT_MODELS = (
     ),
 )
 
-_LOADERS = {
-    "logistic_regression": LogisticRegressionModel,
-    "random_forest": RandomForestClassificationModel,
-    "boosted_trees": GBTClassificationModel,
-    "boosted_trees_ovr": OneVsRestModel,
-}
-
-
 def _write_note(spark: SparkSession, path: str, note: dict) -> None:
     note_text = spark.range(1).select(F.lit(json.dumps(note)).alias("value"))
     note_text.write.mode("overwrite").text(f"{path}/note")
@@ -96,20 +82,7 @@ class MLModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         scored = self.model.transform(df)
-        if self.kind == "boosted_trees_ovr":
-            # One margin per class; each binary booster's probability is 1 / (1 + exp(-2 m)).
-            share = F.transform(
-                vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(m * -2.0))
-            )
-            scored = scored.withColumn("_share", share)
-            total = F.aggregate("_share", F.lit(0.0), lambda s, x: s + x)
-            scored = (
-                scored.withColumn("_total", total)
-                .withColumn("probability", F.transform("_share", lambda x: x / F.col("_total")))
-                .drop("_share", "_total")
-            )
-        else:
-            scored = scored.withColumn("probability", vector_to_array("probability"))
+        scored = scored.withColumn("probability", vector_to_array("probability"))
         return scored.drop("rawPrediction")
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -123,10 +96,12 @@ class NearestModel:
 
     def __init__(self, train: DataFrame, k: int, n_classes: int, key: str):
         self.train, self.k, self.n_classes, self.key = train, k, n_classes, key
+        self.index = None  # built when first needed, for all later batches
 
     def score(self, df: DataFrame) -> DataFrame:
         key = self.key
-        near = knn_join(df, self.train, self.k, key=key, vec="features")
+        self.index = self.index or build_index(self.train, self.k, key=key, vec="features")
+        near = self.index.search(df)
         votes = knn_votes(near, self.train, key, "label")
         shares = votes.groupBy(key).agg(
             F.map_from_entries(
@@ -180,53 +155,97 @@ def load_model(spark: SparkSession, path: str):
     if note["kind"] == "stacking":
         bases = [load_model(spark, f"{path}/base{i}") for i in range(note["bases"])]
         return StackedModel(bases, load_model(spark, f"{path}/meta"), note["n_classes"])
-    return MLModel(_LOADERS[note["kind"]].load(f"{path}/model"), note["kind"])
-
-
-def _depth(wanted: int) -> int:
-    if wanted > MAX_DEPTH:
-        raise ValueError(f"max_depth {wanted}: trees deeper than {MAX_DEPTH} are not supported")
-    return wanted
-
-
-def estimator(spec: ModelSpec, n_classes: int, total_weight: float, seed: int = SEED):
-    """The unfitted Spark ML estimator of a spec, and the kind its model is stored as."""
-    p = spec.params
-    if spec.kind == "logistic_regression":
-        # C * sum of weighted losses + 1/2 |W|^2, divided by C * total weight.
-        est = LogisticRegression(
-            family="binomial" if n_classes == 2 else "multinomial",
-            regParam=1.0 / (p.get("C", 1.0) * total_weight),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=p.get("max_iter", 100),
-        )
-    elif spec.kind == "random_forest":
-        est = RandomForestClassifier(
-            numTrees=p.get("n_estimators", 100),
-            maxDepth=_depth(p.get("max_depth", 10)),
-            featureSubsetStrategy="sqrt",
-            minInstancesPerNode=max(1, p.get("min_samples_split", 2) // 2),
-            seed=seed,
-        )
-    elif spec.kind == "boosted_trees":
-        booster = GBTClassifier(
-            maxIter=p.get("n_estimators", 100),
-            maxDepth=_depth(p.get("max_depth", 6)),
-            stepSize=p.get("learning_rate", 0.1),
-            seed=seed,
-        )
-        if n_classes > 2:
-            est = OneVsRest(classifier=booster, parallelism=min(n_classes, 4))
-            if p.get("class_weight") == "balanced":
-                est = est.setWeightCol("weight")
-            return est, "boosted_trees_ovr"
-        est = booster
-    else:
+    if note["kind"] in TREES:
+        return FittedTrees(TreeModel.load(spark, path, note))
+    return MLModel(LogisticRegressionModel.load(f"{path}/model"), note["kind"])
+
+
+TREES = ("random_forest", "boosted_trees")
+
+
+class FittedTrees:
+    """A forest or a boosted model with its note."""
+
+    def __init__(self, model: TreeModel):
+        self.model, self.kind = model, model.kind
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return self.model.score(df)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.model.save(spark, path)
+        _write_note(spark, path, self.model.note())
+
+
+def _weighted(train: DataFrame, spec: ModelSpec) -> DataFrame:
+    if spec.params.get("class_weight") == "balanced":
+        return with_class_weight(train, "label")
+    return train.withColumn("weight", F.lit(1.0))
+
+
+def tree_job(train: DataFrame, spec: ModelSpec, n_classes: int, seed: int = SEED) -> Job:
+    """What to grow for a spec. ``num_leaves`` makes boosted trees grow leaf by leaf."""
+    p, rows = spec.params, _weighted(train, spec)
+    if spec.kind == "random_forest":
+        rule = Rule(max_depth=p.get("max_depth"), min_split=p.get("min_samples_split", 2), features=1)
+        return Job(rows, spec.kind, n_classes, p.get("n_estimators", 100), rule, seed=seed)
+    leaf_wise = "num_leaves" in p
+    rule = Rule(
+        newton=True,
+        max_depth=p.get("max_depth", 6),
+        leaves=p.get("num_leaves"),
+        min_split=2,
+        min_leaf=p.get("min_child_samples", 1),
+        min_hessian=p.get("min_child_weight", 1e-3 if leaf_wise else 1.0),
+        l1=p.get("reg_alpha", 0.0),
+        l2=p.get("reg_lambda", 0.0 if leaf_wise else 1.0),
+    )
+    # Both usual bounds on the softmax's second derivative.
+    curvature = n_classes / max(1, n_classes - 1) if leaf_wise else 2.0
+    rate = p.get("learning_rate", 0.1)
+    return Job(rows, spec.kind, n_classes, p.get("n_estimators", 100), rule, rate, curvature, leaf_wise, seed)
+
+
+def _fit_logistic(train: DataFrame, spec: ModelSpec, n_classes: int) -> MLModel:
+    p, numbers = spec.params, F.size(F.unwrap_udt("features")["values"]).cast("long")
+    rows, n = train.agg(F.count(F.lit(1)), F.sum(numbers)).first()  # balanced weights add up to the rows as well
+    # C * sum of weighted losses + 1/2 |W|^2, divided by C * total weight.
+    est = LogisticRegression(
+        family="binomial" if n_classes == 2 else "multinomial",
+        regParam=1.0 / (p.get("C", 1.0) * rows),
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=p.get("max_iter", 100),
+        weightCol="weight",
+    )
+    # Every iteration is a job over all partitions, so there are no more than the numbers need.
+    few = _weighted(train, spec).coalesce(max(1, -(-(n or 0) // FIT_NUMBERS)))
+    return MLModel(est.fit(few), spec.kind)
+
+
+def fit_many(requests: list[tuple[DataFrame, ModelSpec]], n_classes: int, *, key: str = "key", seed: int = SEED) -> list:
+    """Fit many specs, each on its own ``key, label (0..K-1), features``: all trees together, the rest side by side."""
+    out: list = [None] * len(requests)
+    trees = [i for i, (_, spec) in enumerate(requests) if spec.kind in TREES]
+    if trees:
+        jobs = [tree_job(*requests[i], n_classes, seed) for i in trees]
+        for i, model in zip(trees, fit_trees(jobs, key)):
+            out[i] = FittedTrees(model)
+
+    def fit(i: int):
+        train, spec = requests[i]
+        if spec.kind == "logistic_regression":
+            return _fit_logistic(train, spec, n_classes)
+        if spec.kind == "knn":
+            rows = first_rows(train.select(key, "label", "features"), key, spec.params.get("max_fit_rows"))
+            return NearestModel(materialize(rows, "knn-train"), spec.params.get("n_neighbors", 5), n_classes, key)
         raise ValueError(f"unsupported model kind: {spec.kind}")
-    if p.get("class_weight") == "balanced":
-        est = est.setWeightCol("weight")
-    return est, spec.kind
+
+    rest = [i for i in range(len(requests)) if i not in trees]
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        for i, model in zip(rest, pool.map(fit, rest)):
+            out[i] = model
+    return out
 
 
 def fit_model(
@@ -242,8 +261,8 @@ def fit_model(
     """Fit one spec on ``key, label (0..K-1), features``.
 
     ``others`` names the specs a stacking spec refers to; those among them that are already
-    fitted on the same rows can be handed in as ``fitted``. k-NN compares every scored row with every
-    stored one: its parameter ``max_fit_rows`` bounds the stored rows, the first in hash order.
+    fitted on the same rows can be handed in as ``fitted``. k-NN's parameter ``max_fit_rows`` bounds
+    the stored rows, the first in hash order.
     """
     if spec.kind == "stacking":
         by_name = others or {}
@@ -260,15 +279,7 @@ def fit_model(
         return fit_stack(
             train, bases, meta, n_classes, spec.params.get("cv", 5), key=key, seed=seed, fitted=known
         )
-    if spec.kind == "knn":
-        rows = first_rows(train.select(key, "label", "features"), key, spec.params.get("max_fit_rows"))
-        stored = materialize(rows, "knn-train")
-        return NearestModel(stored, spec.params.get("n_neighbors", 5), n_classes, key)
-    rows = train.count()  # balanced weights add up to the row count as well
-    if spec.params.get("class_weight") == "balanced":
-        train = with_class_weight(train, "label")
-    est, kind = estimator(spec, n_classes, float(rows), seed)
-    return MLModel(est.fit(train), kind)
+    return fit_many([(train, spec)], n_classes, key=key, seed=seed)[0]
 
 
 def stack_features(df: DataFrame, models: list, n_classes: int) -> DataFrame:
@@ -298,18 +309,22 @@ def out_of_fold(
 ) -> DataFrame:
     """``key, label, fold, features``: probabilities from models that never saw the row.
 
-    One fit per base and fold, each a Spark job over the other folds; the folds run side by side.
+    All bases of all folds are fitted together.
     """
     folded = materialize(kfold(train, key, "label", cv, seed), "stack-folds")
+    return _out_of_fold(folded, fit_many(_fold_requests(folded, bases, cv), n_classes, key=key, seed=seed), bases, n_classes, cv, key)
+
 
-    def held_out(fold: int) -> DataFrame:
-        rest = folded.filter(F.col("fold") != fold)
-        models = [fit_model(rest, b, n_classes, key=key, seed=seed) for b in bases]
-        held = stack_features(folded.filter(F.col("fold") == fold), models, n_classes)
-        return held.select(key, "label", "fold", F.col("_stacked").alias("features"))
+def _fold_requests(folded: DataFrame, bases: list[ModelSpec], cv: int) -> list[tuple[DataFrame, ModelSpec]]:
+    return [(folded.filter(F.col("fold") != fold), base) for fold in range(cv) for base in bases]
 
-    with ThreadPoolExecutor(min(cv, FOLDS_AT_ONCE)) as pool:
-        parts = list(pool.map(held_out, range(cv)))
+
+def _out_of_fold(folded: DataFrame, models: list, bases: list, n_classes: int, cv: int, key: str) -> DataFrame:
+    parts = []
+    for fold in range(cv):
+        own = models[fold * len(bases) : (fold + 1) * len(bases)]
+        held = stack_features(folded.filter(F.col("fold") == fold), own, n_classes)
+        parts.append(held.select(key, "label", "fold", F.col("_stacked").alias("features")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -329,11 +344,14 @@ def fit_stack(
 ) -> StackedModel:
     """The meta model learns from out-of-fold probabilities; the bases are fitted on all rows
     unless ``fitted`` has them by name."""
-    oof = out_of_fold(train, bases, n_classes, cv, key=key, seed=seed)
+    folded = materialize(kfold(train, key, "label", cv, seed), "stack-folds")
+    missing = [b for b in bases if b.name not in (fitted or {})]
+    requests = _fold_requests(folded, bases, cv) + [(folded, b) for b in missing]
+    models = fit_many(requests, n_classes, key=key, seed=seed)
+    known = (fitted or {}) | {b.name: m for b, m in zip(missing, models[cv * len(bases) :])}
+    oof = _out_of_fold(folded, models, bases, n_classes, cv, key)
     meta_model = fit_model(oof, meta, n_classes, key=key, seed=seed)
-    whole = [
-        (fitted or {}).get(b.name) or fit_model(train, b, n_classes, key=key, seed=seed) for b in bases
-    ]
+    whole = [known[b.name] for b in bases]
     return StackedModel(whole, meta_model, n_classes)
 
 

@@ -18,6 +18,7 @@ from textforge.operators.labels import class_names, encode_labels
 from textforge.operators.models import (
     DEFAULT_MODELS,
     ModelSpec,
+    fit_many,
     fit_model,
     load_model,
     predict_all,
@@ -166,17 +167,19 @@ class Trained:
 def train_all(prepared: Prepared, specs: Iterable[ModelSpec] = DEFAULT_MODELS) -> Trained:
     """Fit every spec on the train rows and compare them on the test rows.
 
-    The fits run one after another, each a distributed job over the same feature
-    table; all predictions are scored by one aggregation.
+    Plain models are fitted together over the same feature table, then stacks, which take them as
+    their bases; all predictions are scored by one aggregation.
     """
     specs = list(specs)
     by_name = {spec.name: spec for spec in specs}
-    models: dict[str, object] = {}
-    # Stacking last: it takes the models that are fitted by then as its bases.
-    for spec in sorted(specs, key=lambda s: s.kind == "stacking"):
-        models[spec.name] = fit_model(
-            prepared.train, spec, prepared.n_classes, others=by_name, fitted=models
-        )
+    plain = [spec for spec in specs if spec.kind != "stacking"]
+    fitted = fit_many([(prepared.train, spec) for spec in plain], prepared.n_classes)
+    models: dict[str, object] = {spec.name: model for spec, model in zip(plain, fitted)}
+    for spec in specs:
+        if spec.kind == "stacking":
+            models[spec.name] = fit_model(
+                prepared.train, spec, prepared.n_classes, others=by_name, fitted=models
+            )
     models = {spec.name: models[spec.name] for spec in specs}
     predictions = materialize(predict_all(models, prepared.test), "predictions")
     scores = evaluate.compare_models(predictions, "actual", "predicted")
@@ -314,7 +317,7 @@ def sweep_vectorizers(
     specs: dict[str, ModelSpec] | None = None,
     n_classes: int = 2,
 ) -> DataFrame:
-    """One model per vectorizer setting: ``setting, accuracy, f1_weighted, ...``.
+    """One model per vectorizer setting, all fitted together: ``setting, accuracy, f1_weighted, ...``.
 
     ``cleaned`` has key, label, split, cleaned. N-grams are counted once for the
     widest range; a setting only filters that table by length and rank.
@@ -327,7 +330,7 @@ def sweep_vectorizers(
     stats = term_stats(document_terms(train, "key", "cleaned", widest_opts))
     stats = materialize(stats.withColumn("words", F.size(F.split("term", " "))), "ngram-stats")
     n_docs = train.count()
-    parts = []
+    tables, requests = {}, []
     for opts in settings:
         low, high = opts.ngram_range
         fitted = vectorizer_from_stats(
@@ -336,10 +339,13 @@ def sweep_vectorizers(
         rows = materialize(
             fitted.transform(cleaned).select("key", "label", "split", "features"), "sweep-features"
         )
-        spec = specs[opts.method]
-        model = fit_model(rows.filter("split = 'train'"), spec, n_classes)
-        name = f"{opts.method} {low}-{high} {opts.max_features}"
-        parts.append(predict_all({name: model}, rows.filter("split = 'test'")))
+        tables[f"{opts.method} {low}-{high} {opts.max_features}"] = rows
+        requests.append((rows.filter("split = 'train'"), specs[opts.method]))
+    models = fit_many(requests, n_classes)
+    parts = [
+        predict_all({name: model}, rows.filter("split = 'test'"))
+        for (name, rows), model in zip(tables.items(), models)
+    ]
     return _compare(parts)
 
 
@@ -352,14 +358,15 @@ def sweep_balancing(
 
     A method that leaves no rows has null scores.
     """
-    parts, empty = [], []
+    tables, empty = {}, []
     for method in methods:
         rows = materialize(balanced(prepared.train, method, "key", "features", "label"), "balanced")
         if rows.isEmpty():  # editing may leave nothing to learn from
             empty.append((method,))
-            continue
-        model = fit_model(rows, spec, prepared.n_classes)
-        parts.append(predict_all({method: model}, prepared.test))
+        else:
+            tables[method] = rows
+    models = fit_many([(rows, spec) for rows in tables.values()], prepared.n_classes)
+    parts = [predict_all({method: model}, prepared.test) for method, model in zip(tables, models)]
     scores = _compare(parts)
     unscored = scores.sparkSession.createDataFrame(empty, "model string")
     return scores.unionByName(unscored, allowMissingColumns=True)
@@ -385,6 +392,9 @@ STACK_VARIANT = ModelSpec(
                     "n_estimators": 367,
                     "max_depth": 20,
                     "learning_rate": 0.1,
+                    "reg_alpha": 0.1,
+                    "num_leaves": 31,
+                    "min_child_samples": 20,
                     "class_weight": "balanced",
                 },
             ),
