@@ -124,6 +124,18 @@ def test_chunks_equal_whole_texts(whole):
     assert seen > 2000
 
 
+def test_frequent_chunks_are_kept(whole):
+    own = align.Aligner(A, B)
+    own.KEPT = 40
+    texts = [f"the quick word{i} and tail{i}, the end" for i in range(60)] * 2
+    for lo in range(0, len(texts), 7):
+        rows, begins = own.align(texts[lo : lo + 7], True)
+        for i, text in enumerate(texts[lo : lo + 7]):
+            want = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in whole.groups(text))
+            assert ";".join(own.groups[r] for r in rows[begins[i] : begins[i + 1]]) == want
+        assert len(own.rows) <= 40 + 7 * 7 and (lo < 60 or "quick" in own.rows)
+
+
 def test_perfect_hash():
     draw = np.random.default_rng(7)
     keys = np.unique(draw.integers(0, 1 << 62, 50_000).astype(np.uint64))

@@ -28,6 +28,7 @@ those of the result's names, which are replaced.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import uuid
@@ -37,6 +38,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +57,12 @@ SPARSE = 2
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 _CHUNK = re.compile(r" ( *[^ ].*?(?=(?<=\S) (?! *\Z)|\Z))", re.DOTALL)
-_ODD = re.compile("\\s |^ | $|\x00")
+#: Fixed value: how A's text is split before its merges.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters from which on a chunk is encoded on its own.
+LONG = 400
+#: White space before a space: such texts are cut by pattern.
+_ODD = [f"{chr(c)} " for c in range(0x3001) if chr(c).isspace()]
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 _TAILS = ",.;:!?"
 
@@ -76,6 +83,13 @@ def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begins, sizes)
 
 
+def _distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each is there."""
+    numbers = np.sort(numbers)
+    first = np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1]))[: len(numbers)])
+    return numbers[first], np.diff(np.append(first, len(numbers)))
+
+
 class Aligner:
     """Both tokenizers and the chunks met lately, a row of numbers each.
 
@@ -99,6 +113,7 @@ class Aligner:
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(letters[c] for c in token)
         self.bytes_b = [self._piece(i) for i in range(self.n_b)]
+        self.ranks = self._ranked(a_path, vocabulary)
         self.size_a, self.size_b = (np.array([*map(len, x)]) for x in (self.bytes_a, self.bytes_b))
         texts = [b.decode("utf-8", "replace") for b in self.bytes_b]
         if any(re.search("[^ ] ", x) for x in texts):
@@ -106,9 +121,10 @@ class Aligner:
         self.texts = [[f"{i}{mark}" for i in range(max(self.n_a, self.n_b))] for mark in (",", "|", ";")]
         # A mark after a letter is a chunk of its own where no piece of B has both.
         tails = [c for c in _TAILS if not any(re.search(f"{_LETTER}[{c}]", x) for x in texts)]
-        self.tail = re.compile(f"(?<={_LETTER})([{''.join(tails)}])(?= |\\Z|\\n\\S)") if tails else None
+        # Patterns begin with what is rare, which is looked for fast.
+        self.tail = re.compile(f"([{''.join(tails)}])(?<={_LETTER}.)(?= |\\Z|\\n\\S)") if tails else None
         # So is a line's end with the word after it, where no piece has it and more.
-        self.line = re.compile(r"(?<=\S)\n(?=\S)") if not any("\n" in x[:-1] or "\n" in x[1:] for x in texts) else None
+        self.line = re.compile(r"\n(?=\S)(?<=\S\n)") if not any("\n" in x[:-1] or "\n" in x[1:] for x in texts) else None
         self.mark = self.b.piece_to_id("▁")
         self.tails = {f"\x00{c}": ([vocabulary[c]], [self.b.piece_to_id(c)]) for c in tails}
         self.forget()
@@ -121,11 +137,22 @@ class Aligner:
         self.rows: dict[str, int] = {}
         self.numbers, self.bad = np.empty((0, 4), np.int64), np.empty(0, bool)
         self.links, self.begins, self.groups = np.empty(0, np.int64), np.zeros(1, np.int64), []
-        self.looked_up, self.counted = "", np.empty((0, 2), np.int64)
+        self.looked_up, self.counted, self.used = "", np.empty((0, 2), np.int64), np.empty(0, np.int64)
+
+    def _keep_frequent(self) -> None:
+        """Forgets all but the half that was met most often; their uses count half from now on."""
+        kept = np.sort(np.argsort(self.used, kind="stable")[-self.KEPT // 2 :])
+        names = [*self.rows]
+        self.rows = {names[i]: n for n, i in enumerate(kept.tolist())}
+        sizes = np.diff(self.begins)[kept]
+        self.links = self.links[_ranges(self.begins[kept], sizes)]
+        self.begins, self.numbers, self.bad, self.used = _starts(sizes), self.numbers[kept], self.bad[kept], self.used[kept] // 2
+        self.groups = [self.groups[i] for i in kept.tolist()] if len(self.groups) == len(names) else []
+        self.looked_up = ""
 
     def chunks(self, text: str) -> list[str]:
         """The chunks of space + text: each without its first space, or with a zero before if it has none."""
-        if not _ODD.search(text):
+        if not (text[0] == " " or text[-1] == " " or "\x00" in text or any(x in text for x in _ODD)):
             for pattern, apart in ((self.tail, " \x00\\1"), (self.line, " \x00\n")):
                 text = pattern.sub(apart, text) if pattern else text
             return text.split(" ")
@@ -137,17 +164,17 @@ class Aligner:
         plain = [c for c in chunks if c not in self.tails]
         chunks = plain + [c for c in chunks if c in self.tails]
         own = [c[1:] if c[:1] == "\x00" else f" {c}" for c in plain]
-        a = [e.ids for e in self.a.encode_batch_fast(own, add_special_tokens=False)]
-        b = self.b.encode([c.removeprefix(" ") for c in own], num_threads=1)
-        b = [x[1:] if c[0] == "\n" and x[:1] == [self.mark] else x for c, x in zip(own, b)]
-        a += [self.tails[c][0] for c in chunks[len(plain) :]]
-        b += [self.tails[c][1] for c in chunks[len(plain) :]]
         whole = [c.encode() for c in [*own, *(c[1:] for c in chunks[len(plain) :])]]
-        bad = np.array([b"".join(map(self.bytes_a.__getitem__, x)) != w or b"".join(map(self.bytes_b.__getitem__, y)) != w for x, y, w in zip(a, b, whole)], bool)
-        for i in np.flatnonzero(bad):
-            a[i], b[i] = [], []
-        of_a, of_b = np.array([*map(len, a)]), np.array([*map(len, b)])
-        a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, of_a), (b, of_b)))
+        a, of_a = self._together(own, whole[: len(own)])
+        each = self._encode_b(own)
+        b, of_b = np.fromiter(chain.from_iterable(each), np.int64), np.array([*map(len, each)], np.int64)
+        last = [self.tails[c] for c in chunks[len(plain) :]]
+        a, b = (np.concatenate((x, np.array([i for t in last for i in t[n]], np.int64))) for n, x in enumerate((a, b)))
+        of_a, of_b = (np.concatenate((x, np.array([len(t[n]) for t in last], np.int64))) for n, x in enumerate((of_a, of_b)))
+        bad = np.zeros(len(chunks), bool)
+        joined = b"".join(whole)
+        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != joined or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != joined or not self._even(a, of_a, b, of_b, whole):
+            bad, a, of_a, b, of_b = self._without_bad(a, of_a, b, of_b, whole)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
@@ -166,6 +193,61 @@ class Aligner:
         if with_groups:
             self.groups += self._shown(a, b, group_a, group_b, _starts(n_groups), in_a, in_b)
 
+    def _ranked(self, path: str, vocabulary: dict[str, int]):
+        """The same tokenizer in a library that is faster on long texts; None if its ids aren't ranks."""
+        with open(path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        if any(vocabulary.get("".join(p)) != 256 + i for i, p in enumerate(pairs)):
+            return None
+        ranks = {self.bytes_a[i]: i for i in range(256 + len(pairs))}
+        return tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_a(self, text: str, short: bool = False) -> list[int]:
+        if short and self.ranks is not None:  # of short words
+            return self.ranks.encode_ordinary(text)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _encode_b(self, texts: list[str]) -> list[list[int]]:
+        """B adds a space, so one is taken off; before a line's end it is a piece that is left out."""
+        found = self.b.encode([t.removeprefix(" ") for t in texts], num_threads=1)
+        return [x[1:] if t[0] == "\n" and x[:1] == [self.mark] else x for t, x in zip(texts, found)]
+
+    def _together(self, own: list[str], whole: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all chunks, and how many each has. Short chunks that end in no white space are one
+        text, cut where they end; should a token go over such a place, they are encoded one by one."""
+        apart = np.array([c[-1].isspace() or len(c) > LONG for c in own], bool)
+        alike = [c for c, odd in zip(own, apart) if not odd]
+        ids = np.array(self._encode_a("".join(alike), True) if alike else [], np.int64)
+        ends = np.cumsum(self.size_a[ids])
+        wanted = np.cumsum([len(w) for w, odd in zip(whole, apart) if not odd])
+        at = np.searchsorted(ends, wanted)
+        if len(alike) and (at[-1] != len(ends) - 1 or (ends[at] != wanted).any()):
+            each = [self._encode_a(c) for c in own]
+            return np.fromiter(chain.from_iterable(each), np.int64), np.array([*map(len, each)], np.int64)
+        n = np.zeros(len(own), np.int64)
+        n[~apart] = np.diff(np.concatenate(([-1], at)))
+        each = [self._encode_a(c) for c, odd in zip(own, apart) if odd]
+        n[apart] = [*map(len, each)]
+        out = np.empty(n.sum(), np.int64)
+        begins = _starts(n)[:-1]
+        out[_ranges(begins[~apart], n[~apart])] = ids
+        out[_ranges(begins[apart], n[apart])] = np.fromiter(chain.from_iterable(each), np.int64)
+        return out, n
+
+    def _even(self, a, of_a, b, of_b, whole) -> bool:
+        """Whether every chunk's tokens make up its bytes."""
+        size = np.array([*map(len, whole)])
+        return all((np.diff(_starts(sizes[x])[_starts(n)]) == size).all() for x, n, sizes in ((a, of_a, self.size_a), (b, of_b, self.size_b)))
+
+    def _without_bad(self, a, of_a, b, of_b, whole):
+        """Leaves out the chunks that a tokenizer changes."""
+        parts = [[x[lo:hi].tolist() for lo, hi in zip(_starts(n), _starts(n)[1:])] for x, n in ((a, of_a), (b, of_b))]
+        bad = np.array([b"".join(map(self.bytes_a.__getitem__, x)) != w or b"".join(map(self.bytes_b.__getitem__, y)) != w for x, y, w in zip(*parts, whole)], bool)
+        of_a, of_b = np.where(bad, 0, of_a), np.where(bad, 0, of_b)
+        kept = [[i for x, odd in zip(p, bad) if not odd for i in x] for p in parts]
+        return bad, np.array(kept[0], np.int64), of_a, np.array(kept[1], np.int64), of_b
+
     def _shown(self, a, b, group_a, group_b, of_chunk, in_a, in_b) -> list[str]:
         """The groups of each chunk as text."""
         ends_a, ends_b = np.cumsum(in_a), np.cumsum(in_b)
@@ -179,14 +261,19 @@ class Aligner:
 
     def align(self, texts: list[str | None], with_groups: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the chunks of all texts, and where each text's begin; none for one without tokens."""
-        if len(self.rows) > self.KEPT or with_groups and len(self.groups) < len(self.rows):
+        if with_groups and len(self.groups) < len(self.rows):
             self.forget()
+        elif len(self.rows) > self.KEPT:
+            self._keep_frequent()
         split = [self.chunks(t) if t else [] for t in texts]
         missing = set().union(*split).difference(self.rows)
         if missing:
             self._learn([*missing], with_groups)
         sizes = np.array([*map(len, split)], np.int64)
         rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        used = np.bincount(rows, minlength=len(self.bad))
+        used[: len(self.used)] += self.used
+        self.used = used
         text = np.repeat(np.arange(len(split)), sizes)
         lost = np.bincount(text[self.bad[rows]], minlength=len(split)) > 0
         return rows[~lost[text]], _starts(np.where(lost, 0, sizes))
@@ -194,11 +281,11 @@ class Aligner:
     def pairs(self, rows: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct linked pairs of the texts, and in how many of them each is."""
         text = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-        once = np.unique(text << 40 | rows)
+        once, _ = _distinct(text << 40 | rows)
         text, rows = once >> 40, once & (1 << 40) - 1
         sizes = np.diff(self.begins)[rows]
         held = np.repeat(text, sizes) << 40 | self.links[_ranges(self.begins[rows], sizes)]
-        return np.unique(np.unique(held) & (1 << 40) - 1, return_counts=True)
+        return _distinct(_distinct(held)[0] & (1 << 40) - 1)
 
 
 @functools.lru_cache(maxsize=1)
