@@ -94,10 +94,16 @@ def _random(m) -> bool:
     if re.search(r"(?i)example|placeholder|changeme|x{6}|0123456789|abcdefgh", value):
         return False
     windows = [value[i : i + 20] for i in range(len(value) - 19)]
-    return any(
-        (re.fullmatch("[0-9a-fA-F]+", w) and entropy(w) >= 3.05 - 1e-9) or entropy(w) >= 3.95 - 1e-9
-        for w in windows
+    part = "(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+    account = re.fullmatch("[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", value) and _mod97(m)
+    known = account or re.fullmatch(f"{part}(?:[+/_=-]+{part})+", value)
+    limits = (
+        ("[0-9a-fA-F]+", 3.05),
+        ("[A-Z2-7]+|[a-z2-7]+", 3.95 if known else 3.34),
+        ("[A-Z0-9]+|[a-z0-9]+", 3.95 if known else 3.40),
+        ("[A-Za-z0-9+/_=-]+", 3.95 if known else 3.64),
     )
+    return any(re.fullmatch(p, w) and entropy(w) >= least - 1e-9 for w in set(windows) for p, least in limits)
 
 
 def secrets(text: str | None) -> list[tuple]:

@@ -1,7 +1,9 @@
 """Personal data and secrets against plain Python."""
 
 import random
+import re
 import string
+import time
 
 from tests.llm import brute
 import pytest
@@ -63,13 +65,28 @@ def test_native(spark):
 
 
 def test_best_entropy(spark):
-    values = ["ab" * 10, "0123456789abcdef0123", "0123456789abcdef0123zzz", "Zx9Lq2Wm7Rt4Vb1Ny6Uc3Pd", "short"]
+    draw = random.Random(5)
+    values = ["ab" * 10, "0123456789abcdef0123", "0123456789abcdef0123zzz", "Zx9Lq2Wm7Rt4Vb1Ny6Uc3Pd", "short", "ABCD2345" * 4 + "abc" * 9, "a" * 50]
+    values += ["".join(draw.choices("aAbB19z+/_=-", k=draw.randrange(20, 90))) for _ in range(60)]
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    hex_class = secrets.CLASSES["hex"][0]
-    for r in df.select("v", secrets.best_entropy(F.col("v"), hex_class).alias("e")).collect():
+    for r in df.select("v", secrets.best_entropy(F.col("v")).alias("e")).collect():
         windows = [r.v[i : i + 20] for i in range(len(r.v) - 19)]
-        hexes = [brute.entropy(w) for w in windows if set(w) <= set("0123456789abcdefABCDEF")]
-        assert (r.e is None) == (not hexes) and (not hexes or abs(r.e - max(hexes)) < 1e-8)
+        for kind, (pattern, _) in secrets.CLASSES.items():
+            own = [brute.entropy(w) for w in windows if re.search(pattern, w)]
+            assert (r.e[kind] is None) == (not own) and (not own or abs(r.e[kind] - max(own)) < 1e-8), (r.v, kind)
+
+
+def test_long_candidates(spark):
+    """A run of a million characters takes seconds: the time grows with its length, not with the square."""
+    draw = random.Random(6)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    texts = ["".join(draw.choices(alphabet, k=1_000_000)), "g1" * 500_000, "data:" + "".join(draw.choices("0123456789abcdef", k=300_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begin = time.monotonic()
+    found = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.result] for r in secrets.add_secrets(df, "result").collect()}
+    assert time.monotonic() - begin < 60
+    assert found[0] == [("entropy", 0, 1_000_000)] and found[1] == []
+    assert found[2] == [("hex", 5, 300_005), ("entropy", 5, 300_005)]
 
 
 def test_random_strings_of_each_class(spark):
@@ -86,6 +103,15 @@ def test_random_strings_of_each_class(spark):
     assert [r.found for r in df.select("v", secrets.random_looking(F.col("v")).alias("found")).collect()] == [False] * 4
 
 
+def test_very_many_matches(spark):
+    text = "mail a@b.cd, " * 20_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begin = time.monotonic()
+    spans = pii.add_pii(df, "result").first().result
+    assert time.monotonic() - begin < 60
+    assert [(s.kind, s.start, s.stop) for s in spans] == [("email", 13 * i + 5, 13 * i + 11) for i in range(20_000)]
+
+
 def test_iban_ends_where_its_country_says(spark):
     de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
     texts = [f"{de} BIC COBADEFFXXX", "DE89370400440532013000 2024-01-01", f"{gb} EUR 50", f"{de} {gb} AND 12", f"EU22 {de}", f"x{gb}", f"{gb}1"]

@@ -94,6 +94,11 @@ _PII = [
 ]
 _WINDOWS = "list_transform(range(1, length(value) - 18), lambda i: substr(value, i, 20))"
 _ENTROPY = "round(list_entropy(string_split(w, '')), 9)"
+_PART = "(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+_KNOWN = (
+    f"(regexp_full_match(value, '{_PART}(?:[+/_=-]+{_PART})+') OR (regexp_full_match(value, "
+    f"'[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND {_MOD97}))"
+)
 _SECRETS = [
     _found(
         "assign",
@@ -112,8 +117,9 @@ _SECRETS = [
     AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
     AND NOT regexp_matches(value, '(?i)^(sha(1|256|384|512)|md5)[-_=]')
     AND NOT regexp_matches(value, '(?i)example|placeholder|changeme|x{{6}}|0123456789|abcdefgh')
-    AND len(list_filter({_WINDOWS}, lambda w: {_ENTROPY} >= 3.95
-      OR (regexp_full_match(w, '[0-9a-fA-F]+') AND {_ENTROPY} >= 3.05))) > 0""",
+    AND len(list_filter({_WINDOWS}, lambda w: (regexp_full_match(w, '[0-9a-fA-F]+') AND {_ENTROPY} >= 3.05)
+      OR {_ENTROPY} >= 3.95 OR (NOT {_KNOWN} AND (({_ENTROPY} >= 3.34 AND regexp_full_match(w, '[A-Z2-7]+|[a-z2-7]+'))
+        OR ({_ENTROPY} >= 3.40 AND regexp_full_match(w, '[A-Z0-9]+|[a-z0-9]+')) OR {_ENTROPY} >= 3.64)))) > 0""",
     ),
 ]
 

@@ -6,8 +6,9 @@ more characters of keys; per character class (hex, base32, base36, base64) a win
 over them, and a candidate is reported if some window of that class has a Shannon entropy of at least the
 class's limit. One window of evenly random characters stays below it with a chance of about 6 % (hex) or
 1 % (the others; quantiles of 400,000 windows each). Names made of words or numbers with separators, and
-account numbers whose check digits hold, need ``STRONG``, more than most names have. Sliding updates the sum of ``n log2 n`` by the counts of the character that leaves and of
-the one that enters. The allow-list suppresses candidates that are known to be harmless: no digit
+account numbers whose check digits hold, need ``STRONG``, more than most names have. One fold slides over
+a candidate for all classes: it keeps the counts of the window's characters and updates the sum of ``n log2 n``
+by the character that leaves and the one that enters, so its time grows with the candidate's length. The allow-list suppresses candidates that are known to be harmless: no digit
 or no letter, digests that are named as such, UUIDs, counting sequences, placeholders.
 
 DataFrame functions only, one narrow pass.
@@ -18,6 +19,9 @@ empty table gives an empty result; extra columns pass through.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,56 +58,125 @@ ALLOWED = (
 )
 
 
-def _weight(n: Column) -> Column:
-    """``n log2 n``, 0 for 0."""
-    return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
-
-
-def _count(window: Column, character: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, character, F.lit("")))
-
-
-def best_entropy(value: Column, pattern: str) -> Column:
-    """The highest entropy of the windows that lie in the class; null if none does."""
-    first = F.substring(value, 1, WINDOW)
-    distinct = F.array_distinct(F.split(first, ""))
-    total = F.aggregate(distinct, F.lit(0.0), lambda s, c: s + _weight(_count(first, c)))
-
-    def entropy(window: Column, total: Column) -> Column:
-        bits = F.lit(float(WINDOW)).cast("double")
-        return F.when(window.rlike(pattern), F.round(F.log2(bits) - total / WINDOW, 9))
-
-    def slide(state: Column, i: Column) -> Column:
-        old = F.substring(value, i, F.lit(WINDOW))
-        new = F.substring(value, i + 1, F.lit(WINDOW))
-        leaves, enters = F.substring(old, 1, 1), F.substring(new, WINDOW, 1)
-        n_out, n_in = _count(old, leaves), _count(new, enters)
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Runs of these characters; a window lies in a class if one of the class's runs covers it.
+_RUNS = {
+    "hex": "0123456789abcdefABCDEF",
+    "upper32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "lower32": "abcdefghijklmnopqrstuvwxyz234567",
+    "upper36": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "lower36": "abcdefghijklmnopqrstuvwxyz0123456789",
+}
+_RUNS_OF = {"hex": ("hex",), "base32": ("upper32", "lower32"), "base36": ("upper36", "lower36")}
+#: Counts take 5 bits each, 12 to a number; sums of n log2 n are whole numbers of 2^-40, so nothing drifts.
+_PER_NUMBER, _UNIT = 12, 1 << 40
+_NUMBERS = -(-len(_ALPHABET) // _PER_NUMBER)
+_WEIGHTS = [round(n * math.log2(n) * _UNIT) if n else 0 for n in range(WINDOW + 2)]
+#: Of a character's code: the bits of its count's place, the number that has it, the character, its runs.
+_NUMBER_AT, _CHARACTER_AT, _RUNS_AT = 6, 9, 16
+
+
+def _codes(value: Column) -> Column:
+    """Each character's code: where its count is kept, and which runs it belongs to."""
+    codes = [0] * 128
+    for i, c in enumerate(_ALPHABET):
+        runs = sum(1 << n for n, own in enumerate(_RUNS.values()) if c in own)
+        codes[ord(c)] = 5 * (i % _PER_NUMBER) | i // _PER_NUMBER << _NUMBER_AT | i << _CHARACTER_AT | runs << _RUNS_AT
+    known = F.lit(codes)
+    return F.transform(F.split(value, ""), lambda c: F.get(known, F.ascii(c)))
+
+
+def _bits(code: Column, at: int, n: int) -> Column:
+    return F.shiftright(code, at).bitwiseAND((1 << n) - 1)
+
+
+def windows(value: Column, result: Callable[[dict[str, Column]], Column]) -> Column:
+    """``result`` of the highest entropy of each class's windows (null where none lies in the class).
+
+    One fold over the characters. Its state holds the counts of the window's characters and the sum of
+    ``n log2 n``; a step takes the character that leaves and the one that enters, and nothing else.
+    """
+    length = F.length(value)
+    codes = F.slice(_codes(value), F.lit(1), length)
+    before = F.concat(F.array_repeat(F.lit(-1), WINDOW), codes)
+    steps = F.slice(F.arrays_zip(codes.alias("new"), before.alias("old")), F.lit(1), length)
+    weights, none = F.lit(_WEIGHTS), F.lit(0).cast("bigint")
+
+    def number(state: Column, code: Column) -> Column:
+        """How often the window has a character."""
+        which, chosen = _bits(code, _NUMBER_AT, 3), state[f"c{_NUMBERS - 1}"]
+        for i in range(_NUMBERS - 1):
+            chosen = F.when(which == i, state[f"c{i}"]).otherwise(chosen)
+        return F.call_function("shiftright", chosen, _bits(code, 0, 6)).bitwiseAND(31).cast("int")
+
+    def step(state: Column, x: Column) -> Column:
+        new, old = x["new"], x["old"]
+        full = old >= 0
+        n_out, n_in = number(state, old), number(state, new)
+        less = F.when(full, F.get(weights, n_out) - F.get(weights, n_out - 1)).otherwise(none)
+        more = F.get(weights, n_in + 1) - F.get(weights, n_in)
         # A character that leaves and enters again changes nothing.
-        less = _weight(n_out) - _weight(n_out - 1)
-        before_in = n_in - 1
-        more = _weight(n_in) - _weight(before_in)
-        moved = F.when(leaves == enters, state["total"]).otherwise(state["total"] - less + more)
+        same = _bits(new, _CHARACTER_AT, 7) == _bits(old, _CHARACTER_AT, 7)
+        total = F.when(full & same, state["total"]).otherwise(state["total"] - less + more)
+        one = F.lit(1).cast("bigint")
+        enters = F.call_function("shiftleft", one, _bits(new, 0, 6))
+        leaves = F.when(full, F.call_function("shiftleft", one, _bits(old, 0, 6))).otherwise(none)
+        into, out_of = _bits(new, _NUMBER_AT, 3), _bits(old, _NUMBER_AT, 3)
+        counts = [
+            state[f"c{i}"] + F.when(into == i, enters).otherwise(none) - F.when(out_of == i, leaves).otherwise(none)
+            for i in range(_NUMBERS)
+        ]
+        runs = {
+            name: F.when(_bits(new, _RUNS_AT + n, 1) == 1, state[f"run_{name}"] + 1).otherwise(F.lit(0))
+            for n, name in enumerate(_RUNS)
+        }
+        place = state["place"] + 1
+        inside = {kind: F.greatest(*(runs[r] for r in own)) if len(own) > 1 else runs[own[0]] for kind, own in _RUNS_OF.items()}
+        inside["base64"] = place
+        least = {kind: F.least(state[f"least_{kind}"], F.when(inside[kind] >= WINDOW, total)) for kind in CLASSES}
         return F.struct(
-            moved.alias("total"), F.greatest(state["best"], entropy(new, moved)).alias("best")
+            place.alias("place"),
+            total.alias("total"),
+            *(n.alias(f"c{i}") for i, n in enumerate(counts)),
+            *(n.alias(f"run_{name}") for name, n in runs.items()),
+            *(n.alias(f"least_{kind}") for kind, n in least.items()),
         )
 
-    zero = F.struct(total.alias("total"), entropy(first, total).alias("best"))
-    steps = F.when(F.length(value) > WINDOW, F.sequence(F.lit(1), F.length(value) - WINDOW)).otherwise(
-        F.array().cast("array<int>")
+    zero = F.struct(
+        F.lit(0).alias("place"),
+        none.alias("total"),
+        *(none.alias(f"c{i}") for i in range(_NUMBERS)),
+        *(F.lit(0).alias(f"run_{name}") for name in _RUNS),
+        *(F.lit(None).cast("bigint").alias(f"least_{kind}") for kind in CLASSES),
     )
-    return F.aggregate(steps, zero, slide, lambda s: s["best"])
+
+    def entropy(state: Column, kind: str) -> Column:
+        """The least sum is the highest entropy."""
+        return F.round(F.lit(math.log2(WINDOW)) - state[f"least_{kind}"] / F.lit(float(WINDOW * _UNIT)), 9)
+
+    return F.aggregate(steps, zero, step, lambda s: result({kind: entropy(s, kind) for kind in CLASSES}))
+
+
+def best_entropy(value: Column) -> Column:
+    """The highest entropy of the windows that lie in each class, as a struct."""
+    return windows(value, lambda found: F.struct(*(e.alias(kind) for kind, e in found.items())))
 
 
 def random_looking(value: Column) -> Column:
     harmless = F.lit(False)
     for pattern in ALLOWED:
         harmless = harmless | value.rlike(pattern)
-    high = F.lit(False)
-    known = value.rlike(NAME) | (value.rlike(ACCOUNT) & mod97(value))
-    for kind, (pattern, limit) in CLASSES.items():
-        least = F.lit(limit) if kind == "hex" else F.when(known, F.lit(STRONG)).otherwise(F.lit(limit))
-        high = high | F.coalesce(best_entropy(value, pattern) >= least, F.lit(False))
-    return F.when(harmless, F.lit(False)).otherwise(high)
+
+    def high(found: dict[str, Column]) -> Column:
+        known = value.rlike(NAME) | (value.rlike(ACCOUNT) & mod97(value))
+        out = found["hex"] >= CLASSES["hex"][1]
+        for kind, (_, limit) in CLASSES.items():
+            if kind != "hex":
+                # A name or an account number is looked at only if the window is above the lower limit.
+                out = F.coalesce(out, F.lit(False)) | ((found[kind] >= limit) & ((found[kind] >= STRONG) | ~known))
+        return F.coalesce(out, F.lit(False))
+
+    return F.when(harmless, F.lit(False)).otherwise(windows(value, high))
 
 
 def _assign_holds(value: Column) -> Column:

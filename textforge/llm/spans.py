@@ -2,7 +2,8 @@
 
 ``split`` and ``regexp_extract_all`` find the same leftmost, non-overlapping matches; the gaps and the
 matches in turn make up the text, so running lengths give places. Places are code points from 0, ends
-are exclusive. One aggregation goes over the matches and appends only those that hold.
+are exclusive. One aggregation goes over blocks of matches, an inner one over a block, and only those that
+hold are appended, so that a text with very many matches isn't copied again and again.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Pairs of a block.
+BLOCK = 256
 SPAN = "array<struct<start:bigint,stop:bigint,value:string>>"
 
 
@@ -32,8 +35,23 @@ def matches(text: Column, pattern: str, may_match: Column, holds: Callable[[Colu
         found = F.when(good, F.concat(done["found"], F.array(span))).otherwise(done["found"])
         return F.struct(stop.alias("place"), found.alias("found"))
 
+    def block(done: Column, pairs: Column, at: Column) -> Column:
+        """Goes on over one block; only what the block has found is appended to pair by pair."""
+        begin = F.struct(done["place"].alias("place"), empty.alias("found"))
+        some = F.slice(pairs, at * BLOCK + 1, F.lit(BLOCK))
+        return F.aggregate(
+            some, begin, step,
+            lambda own: F.struct(own["place"].alias("place"), F.concat(done["found"], own["found"]).alias("found")),
+        )
+
     zero = F.struct(F.lit(0).cast("bigint").alias("place"), empty.alias("found"))
-    return F.when(may_match, F.aggregate(pairs, zero, step, lambda done: done["found"])).otherwise(empty)
+
+    def whole(pairs: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int"))
+        return F.aggregate(blocks, zero, lambda done, at: block(done, pairs, at), lambda done: done["found"])
+
+    # As the only element of an array, the pairs are made once and then have a name.
+    return F.when(may_match, F.get(F.transform(F.array(pairs), whole), F.lit(0))).otherwise(empty)
 
 
 def labelled(kind: str, rank: int, spans: Column) -> Column:
