@@ -42,8 +42,7 @@ def _frame(spark, points, labels, sparse=False):
 
 
 @pytest.mark.parametrize("within", [None, "label"])
-@pytest.mark.parametrize("cells, tile", [(None, 1 << 22), (7, 1 << 22), (20, 100)])
-@pytest.mark.parametrize("sparse", [False, True])
+@pytest.mark.parametrize("cells, tile, sparse", [(None, 1 << 22, False), (7, 1 << 22, True), (20, 100, False)])
 def test_exact_neighbors_with_a_hot_copy(spark, within, cells, tile, sparse, monkeypatch):
     monkeypatch.setattr(N, "TILE_CELLS", tile)
     monkeypatch.setattr(N, "QUERY_ROWS", 64)

@@ -112,3 +112,19 @@ def test_large_file_is_read_in_splits(spark, tmp_path):
         assert one.count() == many.count() == 20_000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_repeated_run_is_stored_once(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    metrics = spark.createDataFrame([("accuracy", 0.5), ("f1", 0.25)], "metric string, value double")
+    for _ in range(2):
+        sinks.append_run_metrics(metrics, path, "07", {"model": "a"})
+    better = metrics.withColumn("value", F.col("value") * 2)
+    sinks.append_run_metrics(better, path, "07", {"model": "b"})
+    sinks.append_run_metrics(better, path, "08")
+    sinks.append_run_metrics(better, path, "07", {"model": "a"})
+    rows = sinks.read_run_metrics(spark, path).collect()
+    assert sorted((r.run, r.params.get("model"), r.metric, r.value) for r in rows if r.params) == [
+        ("07", m, k, v) for m in "ab" for k, v in (("accuracy", 1.0), ("f1", 0.5))
+    ]
+    assert len(rows) == 6 and {r.run for r in rows} == {"07", "08"}

@@ -227,10 +227,10 @@ def fit_many(requests: list[tuple[DataFrame, ModelSpec]], n_classes: int, *, key
     """Fit many specs, each on its own ``key, label (0..K-1), features``: all trees together, the rest side by side."""
     out: list = [None] * len(requests)
     trees = [i for i, (_, spec) in enumerate(requests) if spec.kind in TREES]
-    if trees:
-        jobs = [tree_job(*requests[i], n_classes, seed) for i in trees]
-        for i, model in zip(trees, fit_trees(jobs, key)):
-            out[i] = FittedTrees(model)
+
+    def grow() -> list:
+        models = fit_trees([tree_job(*requests[i], n_classes, seed) for i in trees], key)
+        return [FittedTrees(model) for model in models]
 
     def fit(i: int):
         train, spec = requests[i]
@@ -243,8 +243,11 @@ def fit_many(requests: list[tuple[DataFrame, ModelSpec]], n_classes: int, *, key
 
     rest = [i for i in range(len(requests)) if i not in trees]
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        grown = pool.submit(grow) if trees else None
         for i, model in zip(rest, pool.map(fit, rest)):
             out[i] = model
+        for i, model in zip(trees, grown.result() if grown else []):
+            out[i] = model
     return out
 
 

@@ -126,6 +126,21 @@ class Sparse:
         self.sizes = np.bincount(self.row, minlength=self.n)
         self.begins = np.cumsum(self.sizes) - self.sizes
 
+    def rank(self) -> None:
+        """Notes the order of all entries by feature and number."""
+        self.order = np.lexsort((self.val, self.idx))
+        self.place = np.empty(len(self.order), np.int64)
+        self.place[self.order] = np.arange(len(self.order))
+
+    def entries(self, rows: np.ndarray) -> np.ndarray:
+        """The rows' entries in that order."""
+        own = _ranges(self.begins[rows], self.sizes[rows])
+        if 8 * len(own) < len(self.order):
+            return own[np.argsort(self.place[own])]
+        some = np.zeros(self.n, bool)
+        some[rows] = True
+        return self.order[some[self.row[self.order]]]
+
     def dense(self, features: np.ndarray) -> np.ndarray:
         out = np.zeros((self.n, max(1, len(features))))
         if len(features):
@@ -146,19 +161,17 @@ def choose(f: np.ndarray, v: np.ndarray, s: np.ndarray, total: np.ndarray, rule:
     """The best split: gain, feature, threshold, statistics of the left part; None if there is none.
 
     ``f, v, s`` are features, numbers and statistics, the last of which counts rows; what a feature's
-    entries lack to ``total`` has the number 0. With ``edges`` a number stands for a bin that it ends.
+    entries lack to ``total`` has the number 0. They come in the order of feature and number. With
+    ``edges`` a number stands for a bin that it ends.
     """
     if not len(f):
         return None
-    order = np.lexsort((v, f))
-    f, v, s = f[order], v[order], s[order]
     starts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
     lacking = total - np.add.reduceat(s, starts)
     open_ = lacking[:, -1] > 0.5
-    if open_.any():
-        f, v, s = np.concatenate((f, f[starts][open_])), np.concatenate((v, np.zeros(open_.sum()))), np.concatenate((s, lacking[open_]))
-        order = np.lexsort((v, f))
-        f, v, s = f[order], v[order], s[order]
+    if open_.any():  # zeros go behind the feature's negative numbers
+        at = (starts + np.add.reduceat((v < 0).astype(np.int64), starts))[open_]
+        f, v, s = np.insert(f, at, f[starts][open_]), np.insert(v, at, 0.0), np.insert(s, at, lacking[open_], axis=0)
         starts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
     sums = np.cumsum(s, axis=0)
     before = np.repeat(sums[starts] - s[starts], np.diff(np.append(starts, len(f))), axis=0)
@@ -180,14 +193,12 @@ def choose(f: np.ndarray, v: np.ndarray, s: np.ndarray, total: np.ndarray, rule:
 
 def _drawn(f: np.ndarray, v: np.ndarray, count: float, counts: np.ndarray, rule: Rule, rng) -> np.ndarray:
     """Which entries belong to the node's random features: at least one that can split it."""
-    order = np.lexsort((v, f))
-    fs, vs = f[order], v[order]
-    starts = np.flatnonzero(np.concatenate(([True], fs[1:] != fs[:-1]))) if len(f) else np.empty(0, np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1]))) if len(f) else np.empty(0, np.int64)
     if not len(starts):
         return np.zeros(0, bool)
-    ends = np.append(starts[1:], len(fs)) - 1
-    held = np.add.reduceat(counts[order], starts)
-    varied = fs[starts][(held < count - 0.5) | (vs[starts] < vs[ends])]
+    ends = np.append(starts[1:], len(f)) - 1
+    held = np.add.reduceat(counts, starts)
+    varied = f[starts][(held < count - 0.5) | (v[starts] < v[ends])]
     if not len(varied):
         return np.zeros(len(f), bool)
     chosen = np.zeros(rule.width, bool)
@@ -200,6 +211,8 @@ def _drawn(f: np.ndarray, v: np.ndarray, count: float, counts: np.ndarray, rule:
 def grow(rows: Sparse, at: np.ndarray, stats: np.ndarray, rule: Rule, rng, depth: int = 0) -> tuple[Tree, np.ndarray]:
     """A tree on the rows ``at`` whose root lies at ``depth``, and the leaf of each of them."""
     tree, where = Tree(), np.zeros(len(at), np.int64)
+    if not hasattr(rows, "order"):
+        rows.rank()
     counted = np.concatenate((stats, np.ones((len(stats), 1))), 1)
 
     def best(own: np.ndarray, deep: int):
@@ -209,12 +222,12 @@ def grow(rows: Sparse, at: np.ndarray, stats: np.ndarray, rule: Rule, rng, depth
         s = counted[at[own]]
         if not rule.newton and np.count_nonzero(s[:, :-1].sum(0)) < 2:
             return None  # pure
-        entries = _ranges(rows.begins[at[own]], rows.sizes[at[own]])
-        f, v, r = rows.idx[entries], rows.val[entries], np.repeat(np.arange(n), rows.sizes[at[own]])
+        entries = rows.entries(at[own])
+        f, v, r = rows.idx[entries], rows.val[entries], rows.row[entries]
         if rule.features is not None:
             some = _drawn(f, v, n, np.ones(len(f)), rule, rng)
             f, v, r = f[some], v[some], r[some]
-        return choose(f, v, s[r], s.sum(0), rule)
+        return choose(f, v, counted[r], s.sum(0), rule)
 
     def add(own: np.ndarray) -> int:
         node = tree.add(rule.leaf(stats[at[own]].sum(0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,15 +70,24 @@ def report_metrics(report: DataFrame, *keys: str) -> DataFrame:
 
 
 def append_run_metrics(metrics: DataFrame, path: str, run: str, params: dict | None = None) -> None:
-    """Append one run's ``metric, value`` rows to the run table."""
+    """Add one run's ``metric, value`` rows to the run table.
+
+    A run with its parameters has a folder of its own, and only that is replaced when the same job is
+    tried again, so a repeated run is stored once.
+    """
     names = sorted(params or {})
     pairs = [c for k in names for c in (F.lit(k), F.lit(str(params[k])))]
     stored = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    metrics.select(
-        F.lit(run).alias("run"), stored.alias("params"), "metric", "value"
-    ).write.mode("append").parquet(path)
+    said = json.dumps([run, [[k, str(params[k])] for k in names]])
+    folder = F.concat(F.lit("run-"), F.sha2(F.lit(said), 256))
+    (
+        metrics.select(F.lit(run).alias("run"), stored.alias("params"), "metric", "value", folder.alias("folder"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("folder")
+        .parquet(path)
+    )
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
+    return spark.read.parquet(path).drop("folder")
