@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
@@ -293,6 +294,9 @@ def run_training(
     )
 
 
+#: Feature tables of a sweep that are written at the same time.
+TABLES_AT_ONCE = 4
+
 # The vectorizer sweep and its two forests.
 SWEEP_RANGES = ((1, 1), (1, 2), (1, 3))
 SWEEP_CAPS = tuple(range(1000, 10001, 1000))
@@ -330,17 +334,20 @@ def sweep_vectorizers(
     stats = term_stats(document_terms(train, "key", "cleaned", widest_opts))
     stats = materialize(stats.withColumn("words", F.size(F.split("term", " "))), "ngram-stats")
     n_docs = train.count()
-    tables, requests = {}, []
-    for opts in settings:
+
+    def table_of(opts: VectorizerOptions) -> DataFrame:
         low, high = opts.ngram_range
         fitted = vectorizer_from_stats(
             stats.filter(F.col("words").between(low, high)), n_docs, opts, "cleaned"
         )
-        rows = materialize(
+        return materialize(
             fitted.transform(cleaned).select("key", "label", "split", "features"), "sweep-features"
         )
-        tables[f"{opts.method} {low}-{high} {opts.max_features}"] = rows
-        requests.append((rows.filter("split = 'train'"), specs[opts.method]))
+
+    named = {f"{o.method} {o.ngram_range[0]}-{o.ngram_range[1]} {o.max_features}": o for o in settings}
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        tables = dict(zip(named, pool.map(table_of, named.values())))
+    requests = [(tables[n].filter("split = 'train'"), specs[o.method]) for n, o in named.items()]
     models = fit_many(requests, n_classes)
     parts = [
         predict_all({name: model}, rows.filter("split = 'test'"))
