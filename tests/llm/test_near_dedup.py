@@ -4,9 +4,10 @@ from tests.llm import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from textforge.llm.graph import components
-from textforge.llm.near_dedup import keep_one_of_each, multisets, near_duplicate_classes, signatures
+from textforge.llm.near_dedup import content_of, keep_one_of_each, multisets, near_duplicate_classes, signatures
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -52,6 +53,25 @@ def test_family_around_the_threshold(spark):
     assert _found(near_duplicate_classes(df)) == want
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_ids_with_several_texts(spark, swap):
+    """A near copy among the texts of an id neither hides a link nor takes the id's other texts with it."""
+    base = [f"w{i}" for i in range(60)]
+    copy = " ".join([*base[:59], "x"])
+    other = ("zz " if swap else "aa ") + " ".join(f"o{i}" for i in range(30))
+    third = other + " end"
+    rows = [(1, " ".join(base)), (2, copy), (2, other), (3, third), (3, copy + " x"), (4, None), (4, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.classes([((i, t), t) for i, t in rows if t])
+    found = {(r.id, r.content): (r.class_id, r.kept) for r in near_duplicate_classes(df).collect()}
+    named = df.select("doc_id", "text", content_of(F.col("text")).alias("c")).collect()
+    for r in named:
+        key = want.get((r.doc_id, r.text), (r.doc_id, r.text))
+        assert found[r.doc_id, r.c] == (key[0], key == (r.doc_id, r.text)), r
+    kept = sorted(map(str, ((r.doc_id, r.text) for r in keep_one_of_each(df).collect())))
+    assert kept == sorted(map(str, [(1, " ".join(base)), (2, other), (4, None), (4, "one two")]))
+
+
 def test_signature_estimates_weighted_overlap():
     a, b = "a b c d e f g h " * 3 + "q r s t u v w", "a b c d e f g h " * 5 + "q r s x u v w"
     row, shingle, count = multisets(pa.array([a, b]))

@@ -13,7 +13,9 @@ As in BagMinHash, points are made in order of time and only as long as one may s
 in some register: a limit on the time is set per document, and doubled for those few documents that
 have an empty register left.
 
-Links. Documents with equal multisets are one node. Nodes that agree on a band are candidates.
+Links. Documents with equal multisets are one node, whatever their ids: a node is named by 64 bits of
+its multiset's digest and verified on the text of one of its rows, which is found by id and text hash.
+Nodes that agree on a band are candidates.
 1. Every node is verified against one node of each of its buckets, that with most neighbours in all.
 2. Buckets whose nodes then still lie in different components are settled exactly: their nodes go
    through a prefix filter (shingles in order of rarity; a pair over the threshold shares one of the
@@ -21,16 +23,17 @@ Links. Documents with equal multisets are one node. Nodes that agree on a band a
    are ever listed, and no candidate is dropped, whatever the size of a bucket.
 24 bands of 5 registers miss a pair at similarity 0.8 with a chance of 7e-5, at 0.9 of 3e-10.
 
-Defined cases: a null, empty or wordless text is a class of its own; repeated rows are one class;
-of an id with several texts the least text is verified; a row with a null id gets a null class;
-an empty table gives an empty result; extra columns are ignored.
+Defined cases: a null, empty or wordless text is a class of its own; rows that repeat id and text are
+one document; each text of an id with several texts has its own class, and is kept or dropped by itself;
+a row with a null id gets a null class and stays; an empty table gives an empty result; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,6 +45,7 @@ from textforge.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+SALTS = 16
 
 _SLICE_ROWS = 1 << 12  # a row number and 52 bits of a shingle's hash share one sort key
 _HASH_BITS = np.uint64(52)
@@ -134,12 +138,13 @@ def _sketch(bands: int, rows: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.column(0),
+                            part.column(2),
                             pa.array(size),
                             pa.array(sums[0].view(np.int64)),
                             pa.array(sums[1].view(np.int64)),
                             pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1).view(np.int64))),
                         ],
-                        names=["id", "size", "d1", "d2", "bands"],
+                        names=["id", "content", "size", "d1", "d2", "bands"],
                     )
 
     return sketch
@@ -185,27 +190,28 @@ def _exploded(batches):
                 )
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, text`` of the given ids; the ids are broadcast only after a check of their number."""
-    ids = checked_broadcast(materialize(ids, "ids"))
-    return docs.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, text`` of the given ``node, id, content``, which are broadcast only after a check of their number."""
+    nodes = checked_broadcast(materialize(nodes, "nodes-of-texts"), 24)
+    return docs.join(nodes, ["id", "content"]).groupBy("node").agg(F.min("text").alias("text"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose multisets overlap enough."""
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose multisets overlap enough."""
     pairs = materialize(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialize(_texts_of(docs, ids), "texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = materialize(_texts_of(docs, nodes.join(ends, "node", "left_semi")), "texts")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     checked = both.select("a", "b", "text_a", "text_b").mapInArrow(_overlaps, "a long, b long, similarity double")
     return materialize(checked.where(F.col("similarity") >= threshold - 1e-12).select("a", "b"), "links")
 
 
-def _rare_pairs(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of nodes in different components that share one of their rarest elements."""
-    texts = _texts_of(docs, nodes.select(F.col("node").alias("id")))
-    texts = texts.join(nodes, texts["id"] == nodes["node"]).select("node", "component", "text")
+def _rare_pairs(docs: DataFrame, nodes: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the nodes in ``placed`` (``node, component``) in different components that share one of their
+    rarest elements."""
+    texts = _texts_of(docs, nodes.join(placed, "node", "left_semi"))
+    texts = texts.join(placed, "node").select("node", "component", "text")
     elements = materialize(
         texts.mapInArrow(_exploded, "node long, component long, size long, element long"), "elements"
     )
@@ -243,6 +249,11 @@ def _rare_pairs(docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     ).distinct()
 
 
+def content_of(text: Column) -> Column:
+    """A hash that tells the texts of one id apart; null and empty texts are alike."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicate_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -251,14 +262,20 @@ def near_duplicate_classes(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """``id, class_id`` of every row; a class is named by its least id."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, size long, d1 long, d2 long, bands array<long>"
+    """``id, content, class_id, kept`` of every row; a class is named by its least id.
+
+    Of the texts that the least id has in a class, that with the least ``content`` is kept.
+    """
+    text = F.col(f"`{text_col}`")
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), content_of(text).alias("content"))
+    schema = "id long, content long, size long, d1 long, d2 long, bands array<long>"
     sketches = materialize(docs.mapInArrow(_sketch(bands, rows), schema), "sketches")
     filled = sketches.where("size > 0 AND id IS NOT NULL")
-    nodes = filled.groupBy("d1", "d2").agg(F.min(F.struct("id", "bands")).alias("least"))
-    nodes = nodes.select("d1", "d2", F.col("least.id").alias("node"), F.col("least.bands").alias("bands"))
-    members = materialize(nodes.select("node", F.explode("bands").alias("bucket")), "members")
+    nodes = filled.groupBy("d1", "d2").agg(F.min(F.struct("id", "content", "bands")).alias("least"))
+    nodes = nodes.select(F.xxhash64("d1", "d2").alias("node"), "least.id", "least.content", "least.bands")
+    nodes = materialize(nodes, "nodes")
+    named = nodes.select("node", "id", "content")
+    members = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(members.join(sizes, "bucket"), "shared")
     neighbours = shared.groupBy("node").agg(F.sum("n").alias("neighbours"))
@@ -266,30 +283,47 @@ def near_duplicate_classes(
     centres = ranked.groupBy("bucket").agg(F.max_by("node", "rank").alias("centre"))
     spokes = shared.join(centres, "bucket").where("node <> centre")
     spokes = spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    links = _verified(docs, spokes, threshold)
+    links = _verified(docs, named, spokes, threshold)
     found = components(links)
     placed = shared.select("bucket", "node").join(found, "node", "left")
     placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     rest = placed.join(open_, "bucket", "left_semi").select("node", "component").distinct()
-    more = _verified(docs, _rare_pairs(docs, materialize(rest, "rest"), threshold), threshold)
-    final = components(links.union(more))
-    classes = nodes.select("d1", "d2", "node").join(final, "node", "left")
-    classes = classes.select("d1", "d2", F.coalesce("component", "node").alias("class_id"))
-    in_class = filled.select("id", "d1", "d2").join(classes, ["d1", "d2"]).select("id", "class_id")
-    alone = sketches.where("size = 0 OR id IS NULL").select("id", F.col("id").alias("class_id"))
-    return in_class.union(alone)
+    pairs = _rare_pairs(docs, named, materialize(rest, "rest"), threshold)
+    final = components(links.union(_verified(docs, named, pairs, threshold)))
+    # A class is named after its least row. A large class meets that row in SALTS parts.
+    linked = materialize(final.join(named, "node"), "linked")
+    least = linked.groupBy("component").agg(F.min("id").alias("class_id"), F.min(F.struct("id", "content")).alias("row"))
+    least = least.select("component", "class_id", F.col("row.content").alias("class_content"))
+    salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS))))
+    salted = linked.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
+    linked = salted.join(least.withColumn("salt", salts), ["component", "salt"])
+    classes = named.join(linked.select("node", "class_id", "class_content"), "node", "left").select(
+        "node",
+        F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("class_content", "content").alias("class_content"),
+    )
+    rows_of = filled.select("id", "content", F.xxhash64("d1", "d2").alias("node"))
+    kept = (F.col("id") == F.col("class_id")) & (F.col("content") == F.col("class_content"))
+    in_class = rows_of.join(classes, "node").select("id", "content", "class_id", kept.alias("kept"))
+    alone = sketches.where("size = 0 OR id IS NULL")
+    return in_class.union(alone.select("id", "content", F.col("id").alias("class_id"), F.lit(True).alias("kept")))
+
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each class: its least id and, of that id's texts in the class, one text.
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that are not the least id of their class."""
-    lost = fresh(docs, "lost_id")
-    classes = near_duplicate_classes(docs, id_col, **options)
-    dropped = materialize(classes.where("id <> class_id").select(F.col("id").alias(lost)).distinct(), "dropped")
-    return docs.join(checked_broadcast(dropped), F.col(f"`{id_col}`") == F.col(lost), "left_anti")
+    A row goes by id and text, so the other texts of its id stay where they are.
+    """
+    lost, content = fresh(docs, "lost_id"), fresh(docs, "lost_content")
+    classes = near_duplicate_classes(docs, id_col, text_col, **options)
+    dropped = classes.where("NOT kept").select(F.col("id").alias(lost), F.col("content").alias(content))
+    dropped = checked_broadcast(materialize(dropped.distinct(), "dropped"))
+    same = (F.col(f"`{id_col}`").cast("long") == F.col(lost)) & (content_of(F.col(f"`{text_col}`")) == F.col(content))
+    return docs.join(dropped, same, "left_anti")
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
     """``doc_id, class_id, kept`` of every document."""
     classes = near_duplicate_classes(table(spark, sf_dir, "documents"))
-    return classes.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "kept")
