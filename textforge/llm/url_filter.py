@@ -5,8 +5,8 @@ rule's path; the longest rule wins (of equal length that with the longer host; b
 listed entry has the same form and decides, as block, where no rule fits.
 
 The digests (xxhash64) of all rules and entries are sorted, and lie beside their full strings in one
-file. A url's candidates are each of its host's suffixes with each prefix of its path that has the length of some
-rule's path; their digests are probed in the mapped array by vectorised binary search. A digest that
+file. A url's candidates are those suffixes of its host that have as many labels as some rule's host, with each prefix
+of its path that has the length of some rule's path, so a long host or path makes no more candidates; their digests are probed in the mapped array by vectorised binary search. A digest that
 is there is confirmed by comparing the stored strings, all of those that share the digest, so a
 collision can't decide.
 
@@ -74,6 +74,7 @@ class DigestArray:
         texts = [e.encode() for _, e, _, _ in keyed]
         self.n = len(keyed)
         self.lengths = sorted({len(e[e.find("/") :]) for _, e, _, _ in keyed})
+        self.labels = sorted({e[: e.find("/")].count(".") + 1 for _, e, _, _ in keyed})
         ends = np.cumsum([0, *map(len, texts)], dtype=np.uint64)
         keys = np.array([k for k, *_ in keyed], np.uint64)
         marks = np.array([2 * r + (v == "block") for *_, v, r in keyed], np.uint64)
@@ -119,10 +120,13 @@ def _best(array: DigestArray, hosts: list[str], paths: list[str]) -> list[tuple
     for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
         if not host:
             continue
-        labels = host.split(".")
+        labels = host.rsplit(".", array.labels[-1] if array.labels else 0)
         prefixes = [path[:n] for n in array.lengths if n <= len(path)]
-        for k in range(len(labels)):
-            suffix = ".".join(labels[k:])
+        whole = host.count(".") + 1
+        for k in array.labels:
+            if k > whole:
+                break
+            suffix = ".".join(labels[-k:])
             candidates.extend(suffix + p for p in prefixes)
             owners.extend([i] * len(prefixes))
     best: list[tuple | None] = [None] * len(hosts)
