@@ -101,6 +101,27 @@ def test_longest_match(spark):
     assert (best.item_id, best.item_word, best.doc_word, best.n_words) == ("1", 20, 5, 28)
 
 
+def test_long_matches(monkeypatch):
+    """Matches of any length, over the borders of shards, and in texts of one word over and over."""
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 1 << 15)
+    item = [f"w{i}" for i in range(70_000)]
+    bench = [(1, " ".join(item)), (2, " ".join(["same"] * 300)), (3, "p q r"), (4, " ".join(item[50:75]))]
+    block = decontaminate.TestBlock([str(i) for i, _ in bench], [t for _, t in bench], 10)
+    texts = [
+        "x " + " ".join(item) + " y " + " ".join(item[:20]),
+        "same " * 700,
+        "p q p q r",
+        " ".join(item[100:112]) + " - " + " ".join(item[40:60]),
+        "nothing",
+        None,
+    ]
+    found = decontaminate._batch_hits(pa.array(texts), block)
+    longest = [r["longest"] and tuple(r["longest"].values()) for r in found]
+    assert longest == [("1", 0, 1, 70_000), ("2", 0, 0, 300), ("3", 0, 2, 3), ("1", 40, 12, 20), None, None]
+    assert found[0]["spans"] == [[1, 70_001], [70_002, 70_022]] and found[0]["items"] == ["1", "4"]
+    assert found[1]["spans"] == [[0, 700]] and found[3]["items"] == ["1", "4"]
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_scores(spark, edge_docs, no_docs, edge_rows, monkeypatch, order):
     monkeypatch.setattr(lm_score, "PARTITION_NGRAMS", 20_000)
@@ -163,6 +184,21 @@ def test_urls(spark, block_rules):
     assert {r.f.verdict for r in none.collect()} == {"allow"}
 
 
+def test_long_hosts_and_a_large_list(spark):
+    """Hosts of half a million labels, and a list of 100,000 hosts, against a dictionary."""
+    listed = [(f"h{i}.example.{'net' if i % 3 else 'co.uk'}/", "block", 1) for i in range(100_000)]
+    array = url_filter.DigestArray([*listed, ("org/", "allow", 0)])
+    long = "a." * 500_000
+    hosts = [long + "org", long + "h7.example.net", long, "h3.example.co.uk", "example.co.uk", "h3.example.net", "", "."]
+    paths = ["/" + "p" * 1_000_000, "/", "/", "/x", "/", "/", "/", "/"]
+    known = {e: (e, v, r) for e, v, r in listed}
+    want = [("org/", "allow", 0), known["h7.example.net/"], None, known["h3.example.co.uk/"], None, None, None, None]
+    assert url_filter._best(array, hosts, paths) == want
+    hosts = [f"w.h{i}.example.net" for i in range(0, 100_000, 7)]
+    found = url_filter._best(array, hosts, ["/"] * len(hosts))
+    assert found == [known.get(h[2:] + "/") for h in hosts]
+
+
 def test_digest_collisions(monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda text: 7)
     array = url_filter.DigestArray([("a.org/", "block", 0), ("b.org/", "allow", 0)])

@@ -3,15 +3,16 @@
 Method: the words of the documents form shards; every shard gets a suffix array (its positions in
 the order of the word sequences that begin there). Every suffix of every test item is looked up in
 every shard by binary search, one word deeper at a time: the interval of suffixes that agree with it
-on a whole window gives all places of that window, and the deepest interval the longest verbatim
-match. Documents with a hit are removed by ``remove_contaminated``.
+on a whole window gives all places of that window. Places where the word before agrees as well lie
+inside a longer match; all others are followed on in the text, as far as it goes, which gives the
+longest verbatim match of any length. Documents with a hit are removed by ``remove_contaminated``.
 
 A window is ``window`` consecutive words of an item; an item with fewer words, but not none, is one
 window. Words are compared through 64-bit hashes.
 
 Distribution: a narrow pass, nothing is shuffled. A shard is at most ``SHARD_WORDS`` positions
-inside a task, and it reads beyond its end as far as the longest item, so neither a long document
-nor a hot source makes a large shard. The test items are read in blocks of at most ``block_bytes``
+inside a task, and it reads beyond its end as far as a window, so neither a long document, a long
+item nor a hot source makes a large shard. The test items are read in blocks of at most ``block_bytes``
 bytes of text; each block is one broadcast of that size and one more narrow pass, so the size of the
 benchmark is not limited.
 
@@ -39,8 +40,7 @@ WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 16 << 20
 BATCH_BYTES = 2 << 20  # of text whose words make up shards together
-#: A match is followed so far; of a longer one this many words are reported. Windows are shorter.
-MAX_MATCH = 1 << 16
+_PAIRS = 1 << 17  # places of windows that are looked at together
 _RANK_BITS = np.int64(21)  # three ranks fill one sort key
 
 RESULT = T.StructType(
@@ -93,8 +93,8 @@ class TestBlock:
         left = places[1:][self.item] - np.arange(len(words))  # words up to the item's end
         need = np.minimum(window, sizes)[self.item]
         self.need = np.where(left >= need, need, 0)  # 0: no window begins here
-        self.left = np.minimum(left, MAX_MATCH)
-        self.longest = int(self.left.max(initial=0))
+        self.left = left
+        self.deepest = int(self.need.max(initial=0))
 
 
 def _triples(ranks: np.ndarray, step: int) -> np.ndarray:
@@ -178,15 +178,34 @@ class SuffixArray:
             keep = hi > lo
             suffix, lo, hi = suffix[keep], lo[keep], hi[keep]
             yield depth, suffix, lo, hi
-            more = block.left[suffix] > depth
+            more = (block.left[suffix] > depth) & (depth < block.deepest)
             suffix, lo, hi = suffix[more], lo[more], hi[more]
 
 
-def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the intervals, and the interval each comes from."""
-    sizes = hi - lo
-    which = np.repeat(np.arange(len(lo)), sizes)
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lo[which], which
+def _spread(lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All numbers of the intervals, and the interval each comes from, so many at a time."""
+    ends = np.cumsum(hi - lo)
+    for begin in range(0, int(ends[-1]) if len(ends) else 0, _PAIRS):
+        number = np.arange(begin, min(begin + _PAIRS, int(ends[-1])))
+        which = np.searchsorted(ends, number, "right")
+        yield number - (ends[which] - hi[which]), which
+
+
+def _lengths(flat: np.ndarray, at: np.ndarray, block: TestBlock, suffix: np.ndarray, depth: int) -> np.ndarray:
+    """How many words agree from each place and suffix on, of which the first ``depth`` are known to."""
+    length = np.full(len(at), depth, np.int64)
+    going, step = np.arange(len(at)), 16
+    while len(going):
+        ahead = length[going][:, None] + np.arange(step)
+        here, there = at[going][:, None] + ahead, suffix[going][:, None] + ahead
+        same = (ahead < block.left[suffix[going]][:, None]) & (here < len(flat))
+        same &= flat[np.minimum(here, len(flat) - 1)] == block.words[np.minimum(there, len(block.words) - 1)]
+        agree = np.where(same.all(1), step, same.argmin(1))
+        length[going] += agree
+        going = going[agree == step]
+        step = int(np.clip(_PAIRS // max(1, len(going)), 16, 1 << 14))
+        step = min(step, int(length.max()))
+    return length
 
 
 def _batch_hits(texts: pa.Array, block: TestBlock) -> list[dict]:
@@ -201,32 +220,37 @@ def _batch_hits(texts: pa.Array, block: TestBlock) -> list[dict]:
     flat[np.arange(len(words)) + owner] = words
     change = np.zeros(len(flat) + 1, np.int64)
     pairs, deepest = [], {}
-    if block.longest:
+    if block.deepest:
         for begin in range(0, len(flat), SHARD_WORDS):
-            part = flat[begin : begin + SHARD_WORDS + block.longest]
-            array = SuffixArray(part, block.longest)
+            array = SuffixArray(flat[begin : begin + SHARD_WORDS + block.deepest], block.deepest)
             for depth, suffix, lo, hi in array.look_up(block):
                 window = block.need[suffix] == depth
-                if window.any():
-                    at, which = _spread(lo[window], hi[window])
+                if not window.any():
+                    continue
+                suffix, lo, hi = suffix[window], lo[window], hi[window]
+                # Equal windows of an item have the same places, which count once.
+                _, once = np.unique(np.stack((block.item[suffix], lo)), axis=1, return_index=True)
+                for at, which in _spread(lo[once], hi[once]):
                     at = array.order[at]
                     own = at < SHARD_WORDS  # the next shard has the others
-                    at, item = at[own] + begin, block.item[suffix[window][which[own]]]
+                    at, item = at[own] + begin, block.item[suffix[once][which[own]]]
                     np.add.at(change, at, 1)
                     np.add.at(change, at + depth, -1)
                     doc = np.searchsorted(starts, at, "right") - 1
                     pairs.append(np.unique(doc * len(block.ids) + item))
-                # The longest match can only be where a window was found.
-                over = (block.need[suffix] > 0) & (block.need[suffix] <= depth)
-                if over.any():
-                    at, which = _spread(lo[over], hi[over])
+                for at, which in _spread(lo, hi):
                     at = array.order[at]
                     own = at < SHARD_WORDS
-                    at, own = at[own] + begin, suffix[over][which[own]]
+                    at, start = at[own] + begin, suffix[which[own]]
+                    # A match that could begin a word earlier is found there.
+                    first = (block.place[start] == 0) | (at == 0) | (flat[at - 1] != block.words[start - 1])
+                    at, start = at[first], start[first]
+                    length = _lengths(flat, at, block, start, depth)
                     doc = np.searchsorted(starts, at, "right") - 1
-                    for d, k in zip(*np.unique(doc, return_index=True), strict=True):
-                        if deepest.get(d, (0,))[0] < depth:
-                            deepest[d] = (depth, own[k], at[k] - starts[d])
+                    order = np.lexsort((start, at, -length, doc))
+                    for k in order[np.unique(doc[order], return_index=True)[1]]:
+                        match = (int(length[k]), -int(at[k] - starts[doc[k]]), -int(start[k]))
+                        deepest[doc[k]] = max(deepest.get(doc[k], match), match)
     hit = change.cumsum()[:-1] > 0
     edges = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
     first, last = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0)
@@ -236,16 +260,16 @@ def _batch_hits(texts: pa.Array, block: TestBlock) -> list[dict]:
     for d in range(n_docs):
         spans = slice(*np.searchsorted(doc_of_span, [d, d + 1]))
         items = pairs[slice(*np.searchsorted(doc_of_pair, [d, d + 1]))] % max(1, len(block.ids))
-        depth, suffix, at = deepest.get(d, (0, 0, 0))
+        depth, at, suffix = deepest.get(d, (0, 0, 0))
         out.append(
             {
                 "n_words": int(sizes[d]),
                 "spans": (np.stack((first[spans], last[spans]), 1) - starts[d]).tolist(),
                 "items": sorted({block.ids[i] for i in items}),
                 "longest": {
-                    "item_id": block.ids[block.item[suffix]],
-                    "item_word": int(block.place[suffix]),
-                    "doc_word": int(at),
+                    "item_id": block.ids[block.item[-suffix]],
+                    "item_word": int(block.place[-suffix]),
+                    "doc_word": -at,
                     "n_words": depth,
                 }
                 if depth
@@ -263,7 +287,7 @@ def _joined(old: dict, new: dict) -> dict:
             spans[-1][1] = max(spans[-1][1], b)
         else:
             spans.append([a, b])
-    best = max(old["longest"], new["longest"], key=lambda x: x["n_words"] if x else 0)
+    best = max(old["longest"], new["longest"], key=lambda x: (x["n_words"], -x["doc_word"]) if x else (0, 0))
     items = sorted({*old["items"], *new["items"]})
     return {"n_words": new["n_words"], "spans": spans, "items": items, "longest": best}
 
@@ -278,7 +302,10 @@ def find_contamination(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``docs`` with a struct column ``result``: ``n_words``, ``spans`` (from word, to word), ``items``, ``longest``."""
+    """``docs`` with a struct column ``result``: ``n_words``, ``spans`` (from word, to word), ``items``, ``longest``.
+
+    ``longest`` is the longest verbatim match of at least a window; of equal ones that earliest in the document.
+    """
     spark = docs.sparkSession
     tests = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("text")
