@@ -66,7 +66,7 @@ def test_exchange_between_partitions(spark, monkeypatch):
     assert len(packed) == len(rows)
     used = len({r.sequence_id for r in packed})
     bound = -(-sum(r[3] for r in rows) // 4096)
-    alone = len({r.sequence_id for r in pack(pieces, max_rounds=1).collect()})
+    alone = len({r.sequence_id for r in pack(pieces, exchange=False).collect()})
     assert bound <= used <= bound + 2 and used < alone
     by_sequence = defaultdict(int)
     for r in packed:
@@ -74,6 +74,35 @@ def test_exchange_between_partitions(spark, monkeypatch):
     assert max(by_sequence.values()) <= 4096
 
 
+def test_rounds_go_on_while_they_save(spark, monkeypatch):
+    """More than four rounds, and as many sequences as one partition needs for the whole, or less."""
+    from textforge.llm import packing
+
+    draw = np.random.default_rng(3)
+    lengths = draw.choice([1366, 1365, 2049, 2047, 1024, 1025, 700, 683], 1500)
+    rows = [(None, 0, 0, int(n), 7) for n in lengths]  # rows without an id are dealt like others
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").coalesce(1)
+    monkeypatch.setattr(packing, "PARTITION_SEQUENCES", 8)
+    rounds, deal = [], packing._round
+
+    def counted(items, number, capacity):
+        again, used = deal(items, number, capacity)
+        rounds.append((items.count(), used, again.select("part").distinct().count()))
+        return again, used
+
+    monkeypatch.setattr(packing, "_round", counted)
+    packed = pack(pieces)
+    by_sequence = defaultdict(list)
+    for r in packed.collect():
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for parts in by_sequence.values():
+        assert [o for o, _ in sorted(parts)] == np.cumsum([0, *(n for _, n in sorted(parts))])[:-1].tolist()
+    assert sorted(n for parts in by_sequence.values() for _, n in parts) == sorted(lengths.tolist())
+    assert max(n for _, _, n in rounds) > 20  # equal keys do not fall into one partition
+    assert len(rounds) > 5 and rounds[-1][1] > 0
+    assert len(by_sequence) < rounds[0][1]
+
+
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(1, "one two three"), (2, "four"), (3, "word " * 5000)], "doc_id long, text string")
     packed = pack(token_pieces(docs, with_ids=True))

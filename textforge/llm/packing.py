@@ -9,12 +9,15 @@ sequences of at most ``capacity`` tokens:
    still fits, so the mapped total over the capacity bounds the number of sequences from below. A
    partition whose count equals its bound is certified, as is the whole when the counts add up to the
    bound over the histogram of all lengths (at most ``capacity`` rows).
-3. While the whole is not certified, the partitions exchange what lies in their open sequences (those
-   with some room left): these pieces are dealt anew, to as few partitions as their size needs, and
-   best fit decreasing runs again. A round that saves no sequence is discarded, and it is the last.
+3. While the whole is not certified, the partitions with a gap between count and bound exchange what lies
+   in their open sequences (those with some room left): these pieces are dealt anew, to as few partitions
+   as their size needs, and best fit decreasing runs again. Certified partitions are left as they are
+   for as long as that saves sequences; then the open sequences of all partitions are exchanged, for
+   bounds of parts may hold where that of the whole does not. A round that saves no sequence is discarded;
+   the exchange ends when one of the second kind saves none, however many rounds that takes.
 
-Partitions are sized by tokens and rows, so a hot source or a group of copies only makes more of
-them; a partition holds numbers and no texts. Every round is a written table.
+Partitions are sized by tokens and rows, and pieces are dealt by a number of their own, so a hot source or
+a group of copies, equal rows too, only makes more of them; a partition holds numbers and no texts. Every round is a written table.
 
 Defined cases: a null or empty text is one piece with the end id alone; repeated rows are packed once
 per row; rows with a null id are packed as well; an empty table gives an empty result; extra columns
@@ -39,7 +42,6 @@ CAPACITY = 4096
 END_ID = 1
 #: What a partition packs: so many tokens in full sequences, and so many rows.
 PARTITION_SEQUENCES, PARTITION_ROWS = 4096, 250_000
-MAX_ROUNDS = 4
 #: A sequence with more than this share of room is open: its pieces take part in the next round.
 OPEN_ROOM = 1 / 64
 _MARK = "\x01"  # a character of its own between chunks that are encoded together
@@ -203,12 +205,12 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return np.array(bins, np.int64), np.array(offsets, np.int64), capacity - np.array(left, np.int64)
 
 
-def _round(items: DataFrame, number: int, capacity: int) -> tuple[DataFrame, int, int]:
-    """One run of best fit decreasing over all partitions; also the sequences and the partitions used."""
+def _round(items: DataFrame, number: int, capacity: int) -> tuple[DataFrame, int]:
+    """One run of best fit decreasing over all partitions, and the number of sequences used."""
     tokens, rows = items.agg(F.sum("length"), F.count("*")).first()
     parts = max(1, -(-(tokens or 0) // (capacity * PARTITION_SEQUENCES)), -(-rows // PARTITION_ROWS))
     columns = [c for c in items.columns if c not in ("part", "sequence_id", "offset", "fill", "bins", "bound")]
-    key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(number)), F.lit(parts))
+    key = F.pmod(F.xxhash64("nth", F.lit(number)), F.lit(parts))
 
     def pack(group: pa.Table) -> pa.Table:
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
@@ -218,7 +220,7 @@ def _round(items: DataFrame, number: int, capacity: int) -> tuple[DataFrame, int
         bound = lower_bound(*np.unique(lengths, return_counts=True), capacity)
         n = group.num_rows
         for name, value in (
-            ("sequence_id", own + ((number << 56) | (part << 28))),
+            ("sequence_id", own + ((number << 48) | (part << 24))),
             ("offset", offsets),
             ("fill", fill[own]),
             ("bins", np.full(n, len(fill))),
@@ -232,31 +234,33 @@ def _round(items: DataFrame, number: int, capacity: int) -> tuple[DataFrame, int
     schema = T.StructType([*dealt.schema.fields, *(T.StructField(name, T.LongType()) for name in added)])
     packed = materialize(dealt.groupBy("part").applyInArrow(pack, schema), f"packed-{number}")
     used = packed.groupBy("part").agg(F.first("bins").alias("bins")).agg(F.sum("bins")).first()[0]
-    return packed, used or 0, parts
+    return packed, used or 0
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, exchange: bool = True) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; ``bins`` and ``bound`` of the packing partition too."""
-    items = materialize(pieces, "pieces")
+    items = materialize(pieces.withColumn("nth", F.monotonically_increasing_id()), "pieces")
     histogram = np.array(items.groupBy("length").count().collect(), np.int64).reshape(-1, 2)
     bound = lower_bound(histogram[:, 0], histogram[:, 1], capacity)
-    packed, used, parts = _round(items, 1, capacity)
-    done, n_done = [], 0
-    least = capacity - int(capacity * OPEN_ROOM)
-    for number in range(2, max_rounds + 1):
-        if n_done + used <= bound or parts == 1:
-            break
-        closed = packed.where(F.col("fill") >= least)
-        n_closed = closed.select("sequence_id").distinct().count()
-        again, used_again, parts = _round(packed.where(F.col("fill") < least), number, capacity)
-        if used_again >= used - n_closed:
+    packed, used = _round(items, 1, capacity)
+    with_room = F.col("fill") < capacity - int(capacity * OPEN_ROOM)
+    with_gap = F.col("bins") > F.col("bound")
+    number, among = 1, with_gap
+    while exchange and used > bound:
+        number += 1
+        open_ = packed.where(with_room & among)
+        n_open = open_.where("offset = 0").count()
+        again, used_again = _round(open_, number, capacity)
+        if used_again < n_open:
+            packed = packed.where(~(with_room & among)).unionByName(again)
+            if number % 16 == 0:  # the plan has one table per round
+                packed = materialize(packed, f"repacked-{number}")
+            used -= n_open - used_again
+        elif among is with_gap:
+            among = F.lit(True)
+        else:
             break
-        done.append(closed)
-        n_done += n_closed
-        packed, used = again, used_again
-    for other in done:
-        packed = packed.unionByName(other)
-    return packed
+    return packed.drop("nth")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
