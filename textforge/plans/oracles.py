@@ -570,6 +570,16 @@ ORACLES: dict[str, str] = {
         SELECT label, (len({_ws_tokens('text')}) // 50) * 50 AS bin, count(*) AS n
         FROM ({LABELLED}) GROUP BY ALL
     """,
+    "length_density_by_label": f"""
+        WITH v AS (SELECT label, CAST(len({_ws_tokens('text')}) AS DOUBLE) AS v FROM ({LABELLED})),
+        s AS (SELECT label, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS low, max(v) AS high
+              FROM v GROUP BY label),
+        g AS (SELECT *, low - 3 * h + point * ((high - low + 6 * h) / 199) AS x
+              FROM s, (SELECT CAST(unnest(range(200)) AS INT) AS point) WHERE h > 0)
+        SELECT g.label, g.point, round(g.x, 4) AS x,
+          round(sum(exp(-0.5 * pow((g.x - v.v) / g.h, 2))) / (any_value(g.n) * any_value(g.h) * sqrt(2 * pi())), 6) AS density
+        FROM g JOIN v USING (label) GROUP BY g.label, g.point, g.x
+    """,
     "strip_tags": _pages_text(_cut("html", TAG)),
     "unescape_basic": _pages_text(_unescape("html")),
     "strip_urls": f"SELECT page_id, {_cut('html', URL)} AS text FROM ({LINKED_PAGES})",

@@ -363,6 +363,14 @@ def length_hist_by_label(spark, folder):
     return P.histogram(counted, "word_count", 50, "label")
 
 
+@query("length_density_by_label")
+def length_density_by_label(spark, folder):
+    docs = labelled_documents(spark, folder)
+    counted = docs.select("label", F.size(K.ws_tokens(F.col("text"))).alias("word_count"))
+    curve = P.density(counted, "word_count", "label")
+    return curve.select("label", "point", F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+
+
 # Cleaners
 
 
