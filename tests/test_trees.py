@@ -214,3 +214,27 @@ def test_many_jobs_share_a_shuffle(spark):
         assert _shares(model, df) == _shares(M.fit_model(df, spec, 3), df)
     dense = df.select("key", "label", F.udf(lambda v: Vectors.dense(v.toArray()), df.schema["features"].dataType)("features").alias("features"))
     assert _shares(M.fit_model(dense, specs[1], 3), df) == _shares(together[1], df)
+
+
+@pytest.mark.parametrize("rule", RULES, ids=str)
+def test_positive_numbers_equal_brute_force(rule, monkeypatch):
+    """Numbers above 0 take a shorter way to the best split, piece by piece."""
+    monkeypatch.setattr(T, "PIECE", 64)
+    x, y = _cells(200, 6, 4)
+    x, rng = np.abs(x), np.random.default_rng(2)
+    g = [rng.normal(size=200) + (y - 1), rng.random(200) + 0.05]
+    stats = np.stack(g, 1) if rule.newton else (y[:, None] == np.arange(3)) * (rng.random(200) + 0.1)[:, None]
+    rows = _sparse(x)
+    tree, leaf = T.grow(rows, np.arange(200), stats, rule, rng)
+    assert rows.positive and len(rows.pieces(rows.entries(np.arange(200)))) > 2
+    assert np.array(tree.value)[leaf] == pytest.approx(_brute_tree(x.tolist(), stats.tolist(), rule), abs=1e-9)
+
+
+def test_forest_nodes_read_their_own_features_only(monkeypatch):
+    rng = np.random.default_rng(3)
+    idx = [np.sort(rng.choice(2000, 30, replace=False)) for _ in range(1500)]
+    rows, y = T.Sparse(idx, [rng.random(30) + 0.1 for _ in idx]), rng.integers(0, 2, 1500)
+    read, split = [], T.choose_positive
+    monkeypatch.setattr(T, "choose_positive", lambda f, *a: read.append(len(f)) or split(f, *a))
+    T.grow(rows, np.arange(1500), (y[:, None] == np.arange(2)) * 1.0, T.Rule(max_depth=8, features=44, width=2000), rng)
+    assert len(read) > 5 and max(read) < 0.1 * 1500 * 30
