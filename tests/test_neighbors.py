@@ -217,3 +217,16 @@ def test_balanced_names(spark):
     assert R.balanced(df, "smote", "id", "features", "label").count() == 6
     with pytest.raises(ValueError):
         R.balanced(df, "other", "id", "features", "label")
+
+
+def test_dense_cells_do_not_grow_in_number_with_the_table(spark, monkeypatch):
+    """Every cell may get a copy of every query: 375 cells for these rows before."""
+    monkeypatch.setattr(N, "CELL_NUMBERS", 64)
+    points = np.random.default_rng(12).normal(size=(3000, 8))
+    df = _frame(spark, points, np.zeros(3000))
+    index = N.build_index(df, 3)
+    got = {}
+    for r in index.search(df, exclude_self=True).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(r.neighbor)
+    assert len(index.units.cell) <= N.DENSE_CELLS and index.visits <= 3000 * N.DENSE_CELLS
+    assert got == _brute(points, np.zeros(3000), 3, None)
