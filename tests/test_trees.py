@@ -238,3 +238,20 @@ def test_forest_nodes_read_their_own_features_only(monkeypatch):
     monkeypatch.setattr(T, "choose_positive", lambda f, *a: read.append(len(f)) or split(f, *a))
     T.grow(rows, np.arange(1500), (y[:, None] == np.arange(2)) * 1.0, T.Rule(max_depth=8, features=44, width=2000), rng)
     assert len(read) > 5 and max(read) < 0.1 * 1500 * 30
+
+
+def test_large_forests_pass_over_drawn_features(spark, monkeypatch):
+    """Many nodes share a pass, as only their random features are summed: one node a pass before."""
+    rng = np.random.default_rng(13)
+    x = np.where(rng.random((300, 400)) < 0.05, rng.integers(1, 9, (300, 400)), 0).astype(float)
+    x[:, 7] = np.arange(300) % 2
+    x[:, 8:30] = 0
+    df = _frame(spark, x, np.arange(300) % 2).repartition(3)
+    monkeypatch.setattr(T, "LOCAL_ROWS", 100)
+    monkeypatch.setattr(T, "OPEN_BYTES", 1 << 17)
+    calls, sums = [], T._node_split
+    monkeypatch.setattr(T, "_node_split", lambda *a: calls.append(1) or sums(*a))
+    shares = _shares(M.fit_model(df, M.ModelSpec("f", "random_forest", {"n_estimators": 6, "max_depth": 8}), 2), df)
+    assert len(shares) == 300 and len(calls) < 12
+    monkeypatch.setattr(T, "_drawn_sums", T._sums)  # sums over all features give the same trees
+    assert shares == _shares(M.fit_model(df, M.ModelSpec("f", "random_forest", {"n_estimators": 6, "max_depth": 8}), 2), df)
