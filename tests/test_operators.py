@@ -142,6 +142,46 @@ def test_vectorizer_against_brute_force(spark, method, cap):
     assert {(r.id, r.idx): r.weight for r in joined} == pytest.approx(weights)
 
 
+MANY = [" ".join(f"w{i * j * j % 17}" + "x" * (j % 5 == 4) for j in range(i % 40)) for i in range(60)] + DOCS
+
+
+@pytest.mark.parametrize("known_bytes", [1 << 20, 0])
+@pytest.mark.parametrize("grams", [(1, 1), (1, 2), (1, 3), (2, 3)])
+def test_capped_vocabulary_against_brute_force(spark, monkeypatch, grams, known_bytes):
+    monkeypatch.setitem(_brute.__globals__, "DOCS", MANY)
+    monkeypatch.setattr(V, "KNOWN_BYTES", known_bytes)
+    df = spark.createDataFrame(list(enumerate(MANY)), "id int, text string")
+    for cap in (1, 12, 5000) if known_bytes else (12,):
+        opts = V.VectorizerOptions("tfidf", cap, grams, ("the",))
+        index, cf, docs, weights = _brute(opts)
+        fitted, rows = V.fit_transform(df, "text", opts)
+        vocab = {r.term: (r.idx, r.cf, r.df) for r in fitted.vocab.collect()}
+        assert vocab == {t: (i, cf[t], docs[t]) for t, i in index.items()}
+        entries = V.vector_entries(rows, "id").collect()
+        assert {(r.id, r.idx): r.value for r in entries} == pytest.approx(weights)
+        assert rows.columns == ["id", "text", "features"] and rows.count() == len(MANY)
+
+
+def test_only_grams_of_frequent_words_are_counted(spark):
+    texts = ["cat dog cat dog"] * 3 + [f"cat r{i} s{i} dog" for i in range(200)] + [None, ""]
+    words = spark.createDataFrame([(t,) for t in texts], "words string")
+    stats = V.frequent_stats(words, "words", V.VectorizerOptions("count", 2, (1, 3))).collect()
+    grams = {r.term: (r.cf, r.df) for r in stats if " " in r.term}
+    assert grams == {"cat dog": (6, 3), "dog cat": (3, 3), "cat dog cat": (3, 3), "dog cat dog": (3, 3)}
+
+
+def test_runs_of_rows_hold_every_row(monkeypatch):
+    import pyarrow as pa
+
+    from textforge.operators import terms
+
+    monkeypatch.setattr(terms, "RUN_BYTES", 10)
+    texts = pa.array(["a b", None, "c" * 50, "", "d e f g", "h", "i j k l m n"])
+    runs = list(terms.row_runs(texts.slice(1)))
+    assert [x for run in runs for x in run.to_pylist()] == texts.to_pylist()[1:]
+    assert len(runs) > 2 and all(len(run) == 1 or sum(len(x or "") for x in run.to_pylist()) <= 10 for run in runs)
+
+
 def test_vectorizer_options_are_checked(spark):
     with pytest.raises(ValueError):
         V.VectorizerOptions("other")
