@@ -361,3 +361,38 @@ def test_lemmas_by_join_equal_lemmas_by_look_up(spark, monkeypatch):
     monkeypatch.setattr(W, "LEMMA_BYTES", 0)
     assert sorted(map(str, W.lemmatize(df, "id", "t", lemmas).collect())) == near
     assert "cat" in near[0]
+
+
+def test_lemmas_of_a_batch_build_no_table_of_all_words(monkeypatch):
+    import pyarrow as pa
+
+    from textforge.operators import words as W
+
+    sets = []
+    index_in = W.pc.index_in
+    monkeypatch.setattr(W.pc, "index_in", lambda x, value_set: sets.append(len(value_set)) or index_in(x, value_set=value_set))
+    monkeypatch.setattr(W, "RUN_TOKENS", 7)
+    words, lemmas = [f"w{i}s" for i in range(50)], [f"w{i}" for i in range(50)]
+    old = pa.array(["w49s", "other", None, "w0s", "w7s", "other"])
+    # A word that comes again keeps its first lemma, in one slice of the table or another.
+    new = W._changed(old, pa.array([*words, "w7s", "w49s"]), pa.array([*lemmas, "late", "late"]))
+    assert new.to_pylist() == ["w49", "other", None, "w0", "w7", "other"] and max(sets) <= len(old)
+    many = pa.array(["w49s", "x", None] * 30)
+    assert W._changed(many, pa.array(words), pa.array(lemmas)).to_pylist() == ["w49", "x", None] * 30
+    assert W._changed(old, pa.array([], pa.string()), pa.array([], pa.string())).equals(old)
+    assert W._changed(old[:0], pa.array(words), pa.array(lemmas)).to_pylist() == []
+
+
+def test_tokens_go_back_into_rows_by_runs(spark, monkeypatch):
+    import numpy as np
+
+    from textforge.operators import words as W
+
+    monkeypatch.setattr(W, "RUN_TOKENS", 5)
+    assert list(W._runs(np.array([0, 2, 2, 5, 6, 20, 20, 21]))) == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(W._runs(np.array([0]))) == []
+    rows = [(i, None if i % 7 == 0 else ["cats", None, f"w{i}"] * (i % 3)) for i in range(50)]
+    lemmas = spark.createDataFrame([("cats", "cat")], "word string, lemma string")
+    got = W.lemmatize(spark.createDataFrame(rows, "id int, t array<string>"), "id", "t", lemmas)
+    want = {i: t if t is None else ["cat" if w == "cats" else w for w in t] for i, t in rows}
+    assert {r.id: r.t for r in got.collect()} == want

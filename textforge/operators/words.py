@@ -144,21 +144,54 @@ def _looked_up(df: DataFrame, tokens: str, changes: DataFrame) -> DataFrame:
     place = df.columns.index(tokens)
 
     def look_up(batches):
-        words, new = known.value
         for batch in batches:
-            lists = batch.column(place)
-            old = lists.flatten()
-            at = pc.index_in(old, value_set=words.cast(old.type))
-            changed = pc.coalesce(new.cast(old.type).take(at), old)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-            out = pa.ListArray.from_arrays(ends, changed, mask=lists.is_null())
-            columns = [*batch.columns[:place], out, *batch.columns[place + 1 :]]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            sizes = pc.fill_null(pc.list_value_length(batch.column(place)), 0)
+            ends = np.concatenate(([0], np.cumsum(sizes.to_numpy(zero_copy_only=False))))
+            for begin, end in _runs(ends):
+                rows = batch.slice(begin, end - begin)
+                lists = rows.column(place)
+                changed = _changed(lists.flatten(), *known.value)
+                offsets = pa.array(ends[begin : end + 1] - ends[begin], pa.int32())
+                out = pa.ListArray.from_arrays(offsets, changed, mask=lists.is_null())
+                columns = [*rows.columns[:place], out, *rows.columns[place + 1 :]]
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return df.mapInArrow(look_up, df.schema)
 
 
+#: Tokens that are looked up at a time; no hash table has more entries.
+RUN_TOKENS = 1 << 19
+
+
+def _runs(ends: np.ndarray):
+    """Consecutive rows (begin, end) of up to ``RUN_TOKENS`` tokens, one row at least."""
+    begin = 0
+    while begin < len(ends) - 1:
+        end = int(np.searchsorted(ends, ends[begin] + RUN_TOKENS, "right")) - 1
+        yield begin, max(begin + 1, end)
+        begin = max(begin + 1, end)
+
+
+def _changed(old: pa.Array, words: pa.Array, new: pa.Array) -> pa.Array:
+    """The tokens with each that is among ``words`` replaced by its ``new``.
+
+    A table longer than the run is looked for among the run's words: the other way round every
+    worker would hold a hash table of the whole table, several times its size.
+    """
+    if len(words) <= len(old):
+        at = pc.index_in(old, value_set=words.cast(old.type))
+        return pc.coalesce(new.cast(old.type).take(at), old)
+    coded = old.dictionary_encode()
+    lemma = np.full(len(coded.dictionary), -1, "int64")
+    for begin in reversed(range(0, len(words), RUN_TOKENS)):
+        part = words.slice(begin, RUN_TOKENS).cast(old.type)
+        at = pc.index_in(part, value_set=coded.dictionary)
+        found = np.flatnonzero(at.is_valid())[::-1]  # a word's first lemma is written last
+        lemma[at.take(pa.array(found)).to_numpy()] = found + begin
+    changed = new.take(pa.array(lemma, mask=lemma < 0)).cast(old.type)
+    return pc.coalesce(changed, coded.dictionary).take(coded.indices)
+
+
 def _joined(df: DataFrame, key: str, tokens: str, changes: DataFrame) -> DataFrame:
     words = explode_terms(df, F.array_distinct(F.col(tokens)), key)
     changed = (
