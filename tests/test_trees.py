@@ -255,3 +255,127 @@ def test_large_forests_pass_over_drawn_features(spark, monkeypatch):
     assert len(shares) == 300 and len(calls) < 12
     monkeypatch.setattr(T, "_drawn_sums", T._sums)  # sums over all features give the same trees
     assert shares == _shares(M.fit_model(df, M.ModelSpec("f", "random_forest", {"n_estimators": 6, "max_depth": 8}), 2), df)
+
+
+def _not_over_cluster(*_):
+    raise AssertionError("grown by passes over all rows for every level of a tree")
+
+
+def test_large_boosting_goes_by_columns(spark, monkeypatch):
+    """One job a level whatever the number of trees; before, each level shuffled its sums and each round wrote all rows."""
+    for seed, sign in ((6, 1), (9, -1)):  # numbers of both signs, more of them above 0 or below
+        x, y = _cells(300, 7, seed)
+        df = _frame(spark, sign * x, y).repartition(3)
+        weighted = df.withColumn("weight", 0.5 + F.abs(F.xxhash64("key")) % 1000 / 1000)  # no two splits are worth the same
+        job = T.Job(weighted, "boosted_trees", 3, 3, T.Rule(newton=True, max_depth=4, min_hessian=1.0, l2=1.0), 0.3, 2.0)
+        whole = _shares(T.fit_trees([job])[0], df)
+        with monkeypatch.context() as m:
+            m.setattr(T, "LOCAL_ROWS", 40)
+            m.setattr(T, "COLUMN_NUMBERS", 1 << 9)  # several groups of features
+            m.setattr(T, "_grow_over_cluster", _not_over_cluster)
+            apart = _shares(T.fit_trees([job])[0], df)
+        for key in whole:
+            assert apart[key] == pytest.approx(whole[key], abs=1e-6)
+
+
+@pytest.mark.parametrize("rule", [r for r in RULES if r.newton] + [T.Rule(newton=True), T.Rule(newton=True, min_leaf=9, min_hessian=2.0, l1=0.3)], ids=str)
+def test_columns_split_each_node_as_one_task_does(rule, monkeypatch):
+    for sign, at_once in ((1, 1 << 20), (-1, 30), (0, 60)):
+        x, y = _cells(300, 6, 11)
+        x, rng = np.abs(x) if sign == 0 else sign * x, np.random.default_rng(5)
+        rows, node = _sparse(x), rng.integers(-1, 5, 300).astype(np.int16)
+        stats = np.stack([rng.normal(size=300) + y - 1, rng.random(300) + 0.05])
+        totals = np.array([[*stats[:, node == k].sum(1), (node == k).sum()] for k in range(5)])
+        monkeypatch.setattr(T, "HISTOGRAM", at_once)
+        own = T.Features.of_entries(rows.idx.astype(np.int32), rows.val, rows.row.astype(np.int32))
+        found = {k: (gain, cut) for k, gain, cut in own.splits(node, stats, totals, rule)}
+        right = own.right(node, [(k, *v) for k, v in found.items()], 5)
+        rows.rank(6)
+        counted = np.append(stats, np.ones((1, 300)), 0).T
+        for k in range(5):
+            at = rows.entries(np.flatnonzero(node == k))
+            split = T.choose(rows.f[at], rows.v[at], counted[rows.r[at]], totals[k], rule)
+            assert (split is None) == (k not in found)
+            if split:
+                assert found[k][0] == pytest.approx(split[0], abs=1e-9) and own.feature[found[k][1]] == split[1]
+                high = x[:, split[1]] > split[2]
+                assert (right[node == k] == high[node == k]).all()
+                assert (right[node == k] == (x[:, split[1]] > own.threshold[found[k][1]])[node == k]).all()
+
+
+def test_bins_hold_neighbouring_numbers_of_one_sign():
+    rng = np.random.default_rng(4)
+    f = rng.integers(0, 3, 2000)
+    v = np.where(f == 0, rng.integers(1, 5, 2000), rng.normal(size=2000))
+    r = rng.integers(0, 500, 2000)
+    own = T.Features.of_entries(f.astype(np.int32), v, r.astype(np.int32))
+    assert (np.bincount(own.feature, minlength=3) <= [4, 2 * T.BINS, 2 * T.BINS]).all()
+    assert ((own.least > 0) == (own.most > 0)).all() and (own.least <= own.most).all()
+    back = T.Features.of_row({n: c.as_py() for n, c in zip(("group", "bin", "row", "feature", "least", "most"), (c[0] for c in own.as_row(1).columns))})
+    assert (back.bin == own.bin).all() and (back.threshold == own.threshold).all()
+    order = np.argsort(r, kind="stable")
+    assert (np.sort(v) == np.sort(v[order])).all() and (own.row[1:] >= own.row[:-1]).all()
+    for k in range(len(own.feature)):  # a cut parts its bin from what is nearer to 0
+        assert own.threshold[k] < own.least[k] if own.positive[k] else own.threshold[k] >= own.most[k]
+
+
+def test_larger_jobs_over_the_cluster_as_before(spark, monkeypatch):
+    """Jobs beyond what reads whole tables or columns."""
+    monkeypatch.setattr(T, "TABLE_ROWS", 0)
+    monkeypatch.setattr(T, "COLUMN_CELLS", 0)
+    with monkeypatch.context() as m:
+        test_forest_over_the_cluster(spark, m)
+    with monkeypatch.context() as m:
+        test_large_forests_pass_over_drawn_features(spark, m)
+    with monkeypatch.context() as m:
+        test_boosting_over_the_cluster_equals_one_task(spark, {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}, m)
+
+
+def test_forests_of_many_rows_read_the_table(spark, monkeypatch):
+    """Every task reads all rows, none are sent to it; before, each tree's rows were shuffled to its nodes."""
+    x, y = _cells(300, 6, 12)
+    df = _frame(spark, x, y).repartition(3)
+    spec = M.ModelSpec("f", "random_forest", {"n_estimators": 12, "max_depth": 8})
+    whole = _shares(M.fit_model(df, spec, 3), df)
+    monkeypatch.setattr(T, "LOCAL_ROWS", 40)
+    monkeypatch.setattr(T, "_grow_over_cluster", _not_over_cluster)
+    shuffled, real = [], type(df).repartitionById
+    monkeypatch.setattr(type(df), "repartitionById", lambda *a: shuffled.append(a) or real(*a))
+    assert _shares(M.fit_model(df, spec, 3), df) == whole and not shuffled
+
+
+def test_small_jobs_have_a_task_each(spark, monkeypatch):
+    """They met in tasks by the hashes of their numbers before, and waited for each other."""
+    x, y = _cells(60, 4, 8)
+    df = _frame(spark, x, y)
+    specs = [M.ModelSpec(f"b{i}", "boosted_trees", {"n_estimators": 1}) for i in range(9)]
+    specs.append(M.ModelSpec("f", "random_forest", {"n_estimators": 60, "max_depth": 2}))
+    grown = T._grown_units
+
+    def one_each(jobs, units):
+        run = grown(jobs, units)
+
+        def checked(batches):
+            batches = list(batches)
+            assert len({u for b in batches for u in b["unit"].to_pylist()}) == 1
+            yield from run(batches)
+
+        return checked
+
+    monkeypatch.setattr(T, "_grown_units", one_each)
+    models = M.fit_many([(df, s) for s in specs], 3)
+    assert [len(m.model.trees) for m in models] == [3] * 9 + [60]
+
+
+def test_driver_holds_no_trees_of_small_jobs(spark):
+    """A sweep's forests were all kept on the driver before, an object per node and number."""
+    x, y = _cells(200, 6, 14)
+    df = _frame(spark, x, y)
+    model = M.fit_model(df, M.ModelSpec("f", "random_forest", {"n_estimators": 4, "max_depth": 6}), 3).model
+    assert not isinstance(model._trees, list)
+    for tree in model.trees:
+        n = len(tree.feature)
+        sizes = [a.nbytes for a in (tree.feature, tree.threshold, tree.left, tree.right, tree.value)]
+        assert n > 10 and sizes == [4 * n, 8 * n, 4 * n, 4 * n, 24 * n]
+    held = model.held()
+    assert _shares(held, df) == _shares(model, df) and isinstance(held._trees, list)
