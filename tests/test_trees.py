@@ -341,6 +341,20 @@ def test_forests_of_many_rows_read_the_table(spark, monkeypatch):
     monkeypatch.setattr(T, "_grow_over_cluster", _not_over_cluster)
     shuffled, real = [], type(df).repartitionById
     monkeypatch.setattr(type(df), "repartitionById", lambda *a: shuffled.append(a) or real(*a))
+    grown = T._grown_units
+
+    def one_each(jobs, units, packed):
+        assert packed and len(units) == 3
+        run = grown(jobs, units, packed)
+
+        def checked(batches):
+            batches = list(batches)
+            assert len({u for b in batches for u in b["unit"].to_pylist()}) < 2  # tasks side by side
+            yield from run(batches)
+
+        return checked
+
+    monkeypatch.setattr(T, "_grown_units", one_each)
     assert _shares(M.fit_model(df, spec, 3), df) == whole and not shuffled
 
 
